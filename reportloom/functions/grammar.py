@@ -87,23 +87,21 @@ def statements(text: Column, g: Grammar) -> Column:
     The label is lower case, 'overall' where the wording has none; figures outside 0 to 100
     are null; what a wording derives (a plan from a delta) is derived here.
     """
-    got = {name: F.regexp_extract_all(text, F.lit(g.pattern), F.lit(k + 1)) for k, name in enumerate(g.groups)}
-    first = got[g.groups[0]]
+    # each group is extracted once, then read row by row
+    parts = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(g.pattern), F.lit(k + 1)).alias(name) for k, name in enumerate(g.groups)))
 
-    def one(i: Column) -> Column:
-        part = {name: F.get(xs, i) for name, xs in got.items()}
-        num = {k: v.cast("double") for k, v in part.items() if k in ("plan", "actual", "delta", "signed")}
-        label = F.regexp_replace(F.lower(part["label"]), r"\s+project$", "") if "label" in part else F.lit("overall")
+    def one(s: Column, i: Column) -> Column:
+        num = {k: s[k].cast("double") for k in ("plan", "actual", "delta", "signed") if k in g.groups}
+        label = F.regexp_replace(F.lower(s["label"]), r"\s+project$", "") if "label" in g.groups else F.lit("overall")
         plan, actual = num.get("plan"), num.get("actual")
         if "delta" in num:
-            plan = plan_from_delta(actual, part["direction"], num["delta"])
+            plan = plan_from_delta(actual, s["direction"], num["delta"])
         if "signed" in num:
             plan = plan_from_signed(actual, num["signed"])
         inside = lambda v: F.lit(None).cast("double") if v is None else F.when(v.between(0.0, 100.0), v)
         return F.struct(F.lit(g.name).alias("grammar"), (i + 1).alias("match_no"), label.alias("label"), inside(plan).alias("plan"), inside(actual).alias("actual"))
 
-    n = F.size(first)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), one)).otherwise(F.array().cast("array<struct<grammar:string,match_no:int,label:string,plan:double,actual:double>>"))
+    return F.transform(parts, one)
 
 
 def read_statements(df: DataFrame, keys: list[str], text: str, grammars: tuple[str, ...]) -> DataFrame:

@@ -105,7 +105,7 @@ def fixed2(v: Column, signed: bool = False) -> Column:
     """Two decimals as text, '–' for null."""
     d = exact(v)
     text = d.cast("string")
-    return F.coalesce(F.when(d > 0, F.concat(F.lit("+"), text)).otherwise(text) if signed else text, F.lit("–"))
+    return F.coalesce(F.when(d >= 0, F.concat(F.lit("+"), text)).otherwise(text) if signed else text, F.lit("–"))
 
 
 def shortest(v: Column) -> Column:
@@ -115,7 +115,7 @@ def shortest(v: Column) -> Column:
 
 
 def letters_to_index(letters: Column) -> Column:
-    """Spreadsheet column letters to a one-based index: A is 1, AA is 27; null unless letters only."""
+    """Spreadsheet column letters to a zero-based index: A is 0, AA is 26; null unless letters only."""
     digits = F.transform(F.split(F.upper(letters), ""), lambda c: F.ascii(c) - 64)
     value = F.aggregate(F.filter(digits, lambda d: d > 0), F.lit(0), lambda a, d: a * 26 + d)
-    return F.when(letters.rlike("^[A-Za-z]+$"), value)
+    return F.when(letters.rlike("^[A-Za-z]+$"), value - 1)

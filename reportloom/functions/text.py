@@ -88,7 +88,7 @@ def split_items(v: Column) -> Column:
     """Items of a cell, separated by line ends or semicolons; an empty marker gives none."""
     items = F.filter(F.transform(F.split(v, r"[\n;]+"), strip), lambda x: x != "")
     none = F.array().cast("array<string>")
-    return F.when(v.isNull() | F.upper(strip(v)).isin("", *EMPTY_CELL), none).otherwise(items)
+    return F.when(v.isNull() | F.lower(strip(v)).isin("", "-", "n/a", "none"), none).otherwise(items)
 
 
 def truthy(v: Column) -> Column:

@@ -1,0 +1 @@
+"""Queries composed from the operators, and the same in SQL."""
