@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reportloom.session import kept
+
 # Letters of other scripts drawn like a basic Latin letter.
 CYRILLIC = "АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝ"
 CYRILLIC_AS = "ABESIJKMHOPCTYXaesijopcyxhdqw"
@@ -125,7 +127,7 @@ def spellings(keys: DataFrame) -> DataFrame:
 def lookalike_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_spellings, n_documents): one row per document with visible text.
     class_id is the smallest doc_id whose text looks the same."""
-    keys = keyed(df, doc_id, text)
+    keys = kept(keyed(df, doc_id, text))
     cls = spellings(keys).groupBy("cls").agg(
         F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("n_spellings"), F.sum("n").alias("n_documents")
     )
@@ -143,7 +145,7 @@ def lookalike_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     Nulls and texts without visible characters make no pair; a repeated doc_id with one
     text counts once.
     """
-    keys = keyed(df, doc_id, text)
+    keys = kept(keyed(df, doc_id, text))  # read three times, made once
     spell = spellings(keys)
     several = spell.groupBy("cls").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("cls")
     mine = spell.join(several, "cls", "left_semi")
