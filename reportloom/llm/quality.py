@@ -32,7 +32,7 @@ THAI = "การ ที่ และ ใน ของ เพราะ จะ 
 FILLER = r"n\.?/?\s?a\.?|tb[acds]|nil|none|null|x+|-+|\.+|_+|\?+|empty|blank|to be (?:advised|confirmed|announced)"
 SENTENCE_END = r"[.!?…。๏](?:[\"'»”’)\]]*)(?:\s*\([^()\n]{4,20}\))?\s*$"
 
-_LETTER_WORD = r"(?U)(?<![\p{L}\p{M}\p{N}/-])\p{L}[\p{L}\p{M}'’]*(?:-\p{L}[\p{L}\p{M}]*)*(?![\p{L}\p{N}/]|-\p{N})"
+_LETTER_WORD = r"(?U)(?<![\p{L}\p{M}\p{N}/-])\p{L}[\p{L}\p{M}'’]*(?:-\p{L}[\p{L}\p{M}]*){0,4}(?![\p{L}\p{N}/]|-\p{N})"
 _NUMBER = r"^\(?[-+−]?\d[\d.,]*%?\)?[;,]?$"
 _CODE = r"^[A-Z]{1,4}(?:-[A-Z0-9]{1,6}){2,}[;,]?$|^Rev\.?\s?[A-Z0-9]*[;,]?$"
 _VOWELS = "aeiouyàáâãäåæèéêëìíîïòóôõöøùúûüýăąęėőűœươạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹаеёиоуыэюяіїє"
@@ -46,6 +46,11 @@ def _count(xs: Column, cond) -> Column:
     return F.size(F.filter(xs, cond)).cast("double")
 
 
+def _longer(a: Column, goes_on: Column) -> Column:
+    run = F.when(goes_on, a["run"] + 1).otherwise(0)
+    return F.struct(run.alias("run"), F.greatest(a["best"], run).alias("best"))
+
+
 def statistics(text: Column) -> dict[str, Column]:
     """Name -> expression over ``text``, in the order they may refer to one another through
     the columns ``_t`` (text with uniform line ends), ``_lines``, ``_tokens`` and ``_words``."""
@@ -76,7 +81,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "mojibake_share": _share(
             2.0 * F.regexp_count(t, F.lit(r"[Â-ô](?:[\u0080-¿]|[ŒœŠšŸŽžƒˆ˜–-›€™])|�")).cast("double"), visible
         ),
-        "leader_share": _share(_count(lines, lambda x: x.rlike(r"\.{4,}\s*\d+\s*$|(?:\.\s){4,}\d*\s*$")), n_lines),
+        "leader_share": _share(_count(lines, lambda x: x.rlike(r"(?<!\.)\.{4,}\s*\d+\s*$") | (x.rlike(r"(?:\.\s){4}") & x.rlike(r"[.\s]\d*\s*$"))), n_lines),
         "numbered_share": _share(_count(lines, lambda x: x.rlike(r"^\s*\d+(?:\.\d+)+\.?\s+\p{Lu}")), n_lines),
         "filler_share": _share(
             _count(F.filter(F.split(t, r"\n|\s[/|;,]\s|[;,|]\s"), lambda x: F.trim(x) != ""), lambda x: F.trim(x).rlike(f"(?i)^(?:{FILLER})$")),
@@ -87,10 +92,11 @@ def statistics(text: Column) -> dict[str, Column]:
         "thai_share": _share(thai, visible),
         "n_thai_common": F.regexp_count(t, F.lit("|".join(THAI.split()))).cast("double"),
         "longest_lower_run": F.aggregate(
-            F.regexp_extract_all(t, F.lit(r"(?U)((?:\p{Ll}[\p{Ll}\p{M}'’-]*[,;:]?\s){2,}\p{Ll}[\p{Ll}\p{M}'’-]*)"), F.lit(1)),
-            F.lit(0),
-            lambda a, x: F.greatest(a, F.size(F.split(x, r"\s+"))),
-        ).cast("double"),
+            tokens,
+            F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")),
+            lambda a, w: _longer(a, w.rlike(r"^\p{Ll}[\p{Ll}\p{M}'’-]*[,;:]?$")),
+            lambda a: a["best"].cast("double"),
+        ),
     }
 
 
