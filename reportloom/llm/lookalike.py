@@ -76,7 +76,7 @@ def prototypes() -> dict[int, str]:
 
 
 _EMOJI_JOIN = re.compile("(?<![\U0001f000-\U0001faff☀-➿️])‍|‍(?![\U0001f000-\U0001faff☀-➿])")
-_LINE_END = re.compile(r"[ \t]*(?:\r\n?|\n)")
+_LINE_END = re.compile(r"(?<![ \t])[ \t]*(?:\r\n?|\n)")
 _PLAIN = re.compile(r"[\n -~]*\Z")
 
 
