@@ -26,6 +26,7 @@ MIN_SHARE = 1 / 3
 MIN_WORDS = 10
 #: A piece is an aligned stretch; shorter stretches are set phrases, not quotations.
 MIN_PIECE = 9
+SAME_SEED = 8
 DROP = 4  # an alignment ends where its score falls this far below its best
 MISMATCH = 2
 #: Items up to this many characters of text are broadcast; more go through a shuffled join.
@@ -70,19 +71,30 @@ def _seeds(h: np.ndarray, at: np.ndarray, which: int) -> np.ndarray:
     return out
 
 
+def _first_places(seeds: np.ndarray) -> np.ndarray:
+    """Positions of the first SAME_SEED occurrences of each seed in one item: a text that goes on
+    repeating itself says nothing new."""
+    order = np.argsort(seeds, kind="stable")
+    s = seeds[order]
+    first = np.searchsorted(s, s, "left")
+    return np.sort(order[np.arange(len(s)) - first < SAME_SEED])
+
+
 class ItemIndex:
     """Seeds of a bounded set of items, sorted by hash."""
 
     def __init__(self, items: list[tuple[int, str]], hasher: _Hasher):
         self.ids = [i for i, _ in items]
-        self.h = [np.array([hasher[w] for w in words(t)], np.uint64) for _, t in items]
+        self.words = [[hasher[w] for w in words(t)] for _, t in items]
         seeds, owner, pos = [], [], []
-        for k, h in enumerate(self.h):
+        for k, own in enumerate(self.words):
+            h = np.array(own, np.uint64)
             for m, at in enumerate(_MASK_AT):
                 s = _seeds(h, at, m)
-                seeds.append(s)
-                owner.append(np.full(len(s), k, np.int32))
-                pos.append(np.arange(len(s), dtype=np.int32))
+                at_first = _first_places(s)
+                seeds.append(s[at_first])
+                owner.append(np.full(len(at_first), k, np.int32))
+                pos.append(at_first.astype(np.int32))
         s = np.concatenate(seeds) if seeds else np.empty(0, np.uint64)
         order = np.argsort(s, kind="stable")
         self.seed = s[order]
@@ -109,50 +121,56 @@ class ItemIndex:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _stretch(eq: np.ndarray, start: int) -> tuple[int, int]:
-    """The best-scoring stretch of an equality vector around ``start``, substitutions allowed."""
-    ends = []
-    for step in (1, -1):
-        score = best = 0
-        end, i = start, start
-        while 0 <= i < len(eq):
-            score += 1 if eq[i] else -MISMATCH
-            if score > best:
-                best, end = score, i
-            elif score <= best - DROP:
-                break
-            i += step
-        ends.append(end)
-    return ends[1], ends[0]
-
-
-def covered(doc: np.ndarray, item: np.ndarray, dpos: np.ndarray, ipos: np.ndarray) -> tuple[int, int]:
-    """(item words covered by pieces, number of pieces) given seed hits between the two."""
+def _reach(doc: list[int], item: list[int], d: int, start: int, step: int) -> int:
+    """How far from ``start`` the best-scoring stretch goes in one direction, substitutions allowed."""
+    score = best = 0
+    end, i = start, start
+    while 0 <= i < len(item) and 0 <= i + d < len(doc):
+        score += 1 if item[i] == doc[i + d] else -MISMATCH
+        if score > best:
+            best, end = score, i
+        elif score <= best - DROP:
+            break
+        i += step
+    return end
+
+
+def covered(doc: list[int], item: list[int], dpos: np.ndarray, ipos: np.ndarray) -> tuple[int, int]:
+    """(item words covered by pieces, number of pieces) given seed hits between the two.
+
+    Hits are taken by diagonal; those whose item word is covered by then are passed over, so a
+    text that repeats itself is not compared with itself at every offset.
+    """
+    diag = dpos.astype(np.int64) - ipos
+    order = np.lexsort((ipos, diag))
+    diag, ipos = diag[order], ipos[order]
     cover = np.zeros(len(item), bool)
     pieces = 0
-    diag = dpos.astype(np.int64) - ipos
-    for d in np.unique(diag):
-        lo, hi = max(0, -d), min(len(item), len(doc) - d)
-        eq = item[lo:hi] == doc[lo + d : hi + d]
-        done = -1
-        for p in np.unique(ipos[diag == d]):
-            if p <= done:
-                continue
-            a, b = _stretch(eq, int(p) - lo)
-            done = b + lo
-            if b - a + 1 >= MIN_PIECE and not cover[a + lo : b + lo + 1].all():
-                cover[a + lo : b + lo + 1] = True
-                pieces += 1
+    i, last, done = 0, None, -1
+    while i < len(diag):
+        d, p = int(diag[i]), int(ipos[i])
+        i += 1
+        if d != last:
+            last, done = d, -1
+        if p <= done or cover[p]:
+            continue
+        a, done = _reach(doc, item, d, p, -1), _reach(doc, item, d, p, 1)
+        if done - a + 1 >= MIN_PIECE:
+            cover[a : done + 1] = True
+            pieces += 1
+            left = np.flatnonzero(~cover[ipos[i:]]) + i
+            diag, ipos, i = diag[left], ipos[left], 0
     return int(cover.sum()), pieces
 
 
 def leaked(h: np.ndarray, index: ItemIndex, min_share: float, min_words: int) -> Iterator[tuple[int, int, int, int]]:
     """(item number, covered words, item words, pieces) for one document's word hashes."""
     dpos, owner, ipos = index.hits(h)
+    doc = h.tolist() if len(owner) else []
     for k in np.unique(owner):
         own = owner == k
-        item = index.h[k]
-        n, pieces = covered(h, item, dpos[own], ipos[own])
+        item = index.words[k]
+        n, pieces = covered(doc, item, dpos[own], ipos[own])
         if n >= min_words and n >= min_share * len(item):
             yield int(k), n, len(item), pieces
 

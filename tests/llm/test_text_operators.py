@@ -234,14 +234,15 @@ def test_statistics(spark):
     assert quality.with_statistics(docs(spark, long)).first().n_words == 200_000
 
 
-def test_learning_finds_a_poor_function():
+def test_learning_finds_a_poor_function(spark):
     """A function that fires at random is trusted less than those that agree."""
-    lfs = list(quality.labelling_functions())
+    types = {name: t for name, (t, _) in quality.labelling_functions().items()}
+    lfs = list(types)
     rng = np.random.default_rng(0)
     patterns = {}
     for _ in range(4000):
         prose = rng.random() < 0.6
-        fire = [k for k, (t, _) in enumerate(quality.labelling_functions().values()) if rng.random() < (0.9 if (t == "prose") == prose and t in ("prose", "list") else 0.02)]
+        fire = [k for k, t in enumerate(types.values()) if rng.random() < (0.9 if (t == "prose") == prose and t in ("prose", "list") else 0.02)]
         fire = [k for k in fire if lfs[k] != "symbols"] + ([lfs.index("symbols")] if rng.random() < 0.5 else [])
         p = sum(1 << k for k in set(fire))
         patterns[p] = patterns.get(p, 0) + 1
@@ -283,3 +284,15 @@ def test_forms_are_normal(spark, sf):
     for r in lookalike.with_skeleton(spark.read.parquet(f"{sf}/documents.parquet")).select("text", "skeleton").collect():
         assert (r.text is None) is (r.skeleton is None)
         assert r.skeleton is None or unicodedata.is_normalized("NFD", r.skeleton)
+
+
+LONG = ["x " * 300_000, " " * 300_000 + "x" + " " * 300_000, "." * 200_000, ". " * 200_000, "a-" * 200_000, "\n" * 200_000 + "end", "é" * 300_000, "Ａ " * 100_000, "7 " * 200_000, "(" * 200_000]
+
+
+def test_very_long_texts(spark):
+    """No operator falls over, or becomes quadratic, on very long texts of one kind."""
+    df = docs(spark, *LONG)
+    assert quality.classify(df).where("text_type is not null").count() == len(LONG)
+    assert len(lookalike.lookalike_classes(df).collect()) == len(LONG)
+    assert leakage.leaked_items(df, docs(spark, *LONG[:2]).withColumnRenamed("doc_id", "item_id")).where("doc_id = 0").count() == 1
+    assert bpe.token_ids(df).where("size(ids) > 0").count() == len(LONG)
