@@ -17,6 +17,7 @@ from reportloom.functions.grammar import GRAMMARS, read_statements, statements,
 from reportloom.functions.numeric import four_or_two, parse_pct, pick_from_end, numbers_in, positional, weighted
 from reportloom.functions.text import multi_column, strip
 
+# What marks the pages of each family.
 WEEKLY_PAGE = r"(?i)weekly construction progress|weekly.*progress.*epc|week\s+\d"
 MONTHLY_PAGE = r"(?i)monthly progress status|cumulative\s+monthly"
 DISCIPLINE_WORD = r"(?i)engineer|procure|construct|commission"

@@ -10,6 +10,7 @@ from reportloom.operators import layout, lines, tables
 from reportloom.plans.history_queries import table_like
 from reportloom.sources import files
 
+# What marks sections, furniture and pages.
 SECTION_HEADER = r"(?i)question|finding|area of concern|next week|next period|upcoming"
 SECTION_STOP = r"(?i)^(answer|action)\b"
 MINUTE = r"^(\d+\.\d+)\s"
