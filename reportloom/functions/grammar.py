@@ -107,7 +107,11 @@ def statements(text: Column, g: Grammar) -> Column:
 def read_statements(df: DataFrame, keys: list[str], text: str, grammars: tuple[str, ...]) -> DataFrame:
     """(…keys, grammar_no, grammar, match_no, label, plan, actual): every statement in every text,
     grammars in the given order.  Null texts have none."""
-    each = F.concat(*(F.transform(statements(F.col(text), GRAMMARS[name]), lambda s, k=k: s.withField("grammar_no", F.lit(k))) for k, name in enumerate(grammars)))
+
+    def ranked(k: int):
+        return lambda s: s.withField("grammar_no", F.lit(k))
+
+    each = F.concat(*(F.transform(statements(F.col(text), GRAMMARS[name]), ranked(k)) for k, name in enumerate(grammars)))
     return df.where(F.col(text).isNotNull()).select(*keys, F.explode(each).alias("s")).select(
         *keys, "s.grammar_no", "s.grammar", "s.match_no", "s.label", "s.plan", "s.actual"
     )
