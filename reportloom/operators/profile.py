@@ -43,27 +43,41 @@ def matches(column: str, pattern: str) -> Check:
     return Check(column, "pattern", F.col(column).cast("string").rlike(pattern))
 
 
+_BOUND = {"whole": "bigint", "number": "double", "time": "timestamp_ntz", "text": "string"}
+
+
+def _bound(kind: str, v: Column) -> Column:
+    """A lowest or highest value as a struct in which the field of its kind is set, so that it compares
+    as that kind when states merge; null without a value."""
+    return F.when(v.isNotNull(), F.struct(*((v if k == kind else F.lit(None)).cast(t).alias(k) for k, t in _BOUND.items())))
+
+
 def column_states(df: DataFrame, columns: list[str] | None = None, by: tuple[str, ...] = (), checks: tuple[Check, ...] = ()) -> DataFrame:
     """One row per group of ``by`` and column: (…by, column_name, rows, nulls, total, squares, low,
     high, sketch, violations).  All of it from one aggregate over one scan; every measure merges.
 
     ``sketch`` is a HyperLogLog sketch of the distinct values; ``violations`` maps the names of
-    the column's checks to how many values fail.  ``low``/``high`` are strings; numbers also
-    have total and squares.  NaN counts as a value of its own and is left out of the sums.
+    the column's checks to how many values fail.  ``low``/``high`` are structs of whole, number,
+    time and text, of which the one of the column's type is set; numbers also have total and
+    squares.  NaN counts as a value of its own and is left out of the sums and bounds.  A column
+    of ``by`` may be profiled too, by naming it in ``columns``.
     """
     columns = columns or [c for c in df.columns if c not in by]
     kinds = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for k, c in enumerate(columns):
-        number = kinds[c].split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+        kind = kinds[c].split("(")[0]
+        whole = kind in ("tinyint", "smallint", "int", "bigint")
+        number = whole or kind in ("float", "double", "decimal")
+        field = "whole" if whole else "number" if number else "time" if kind in ("date", "timestamp", "timestamp_ntz") else "text"
         v = F.col(f"`{c}`")
         x = F.when(~F.isnan(v.cast("double")), v.cast("double")) if number else F.lit(None).cast("double")
         aggs += [
             F.count(v).alias(f"_{k}_n"),
             F.sum(x).alias(f"_{k}_s"),
             F.sum(x * x).alias(f"_{k}_q"),
-            F.min(x if number else v).cast("string").alias(f"_{k}_lo"),
-            F.max(x if number else v).cast("string").alias(f"_{k}_hi"),
+            _bound(field, F.min(x if field == "number" else v)).alias(f"_{k}_lo"),
+            _bound(field, F.max(x if field == "number" else v)).alias(f"_{k}_hi"),
             F.hll_sketch_agg(v.cast("string")).alias(f"_{k}_h"),
         ]
         aggs += [F.count_if(~F.coalesce(q.holds, F.lit(q.name != "not_null"))).alias(f"_{k}_c{i}") for i, q in enumerate(checks) if q.column == c]
@@ -87,15 +101,27 @@ def column_states(df: DataFrame, columns: list[str] | None = None, by: tuple[str
 
 def profile(states: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """States of any number of loads, merged and read: (…by, column_name, rows, nulls, null_share,
-    distinct_estimate, mean, stddev, violations).  Columns without a value have nulls there."""
-    merged = states.groupBy(*by, "column_name").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("nulls").alias("nulls"),
-        F.sum("total").alias("total"),
-        F.sum("squares").alias("squares"),
+    distinct_estimate, mean, stddev, low, high, violations).  low and high are written as text
+    after they were compared as what they are; violations maps each check to how many values
+    fail.  Columns without a value have nulls there."""
+    # each state gives a row of measures (check null) and a row per check, so checks add up by name in the same pass
+    entry = lambda name, n: F.struct(name.cast("string").alias("check"), n.cast("bigint").alias("n"))
+    entries = F.concat(F.array(entry(F.lit(None), F.lit(None))), F.transform(F.map_entries("violations"), lambda e: entry(e["key"], e["value"])))
+    long = states.withColumn("_e", F.explode(entries))
+    own = lambda c: F.when(F.col("_e.check").isNull(), F.col(c))
+    added = long.groupBy(*by, "column_name", F.col("_e.check").alias("_check")).agg(
+        *(F.sum(own(c)).alias(c) for c in ("rows", "nulls", "total", "squares")),
+        F.min(own("low")).alias("low"),
+        F.max(own("high")).alias("high"),
+        F.hll_union_agg(own("sketch")).alias("sketch"),
+        F.sum("_e.n").alias("_n"),
+    )
+    merged = added.groupBy(*by, "column_name").agg(
+        *(F.max(c).alias(c) for c in ("rows", "nulls", "total", "squares", "low", "high")),  # set in one row only
         F.hll_union_agg("sketch").alias("sketch"),
-        F.sum(F.aggregate(F.map_values("violations"), F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("violations"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("_check").isNotNull(), F.struct("_check", "_n"))))).alias("violations"),
     )
+    shown = lambda c: F.coalesce(*(F.col(f"{c}.{k}").cast("string") for k in _BOUND)).alias(c)
     n = F.col("rows") - F.col("nulls")
     mean = F.when(n > 0, F.col("total") / n)
     return merged.select(
@@ -104,6 +130,7 @@ def profile(states: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.hll_sketch_estimate("sketch").alias("distinct_estimate"),
         mean.alias("mean"),
         F.sqrt(F.greatest(F.col("squares") / n - mean * mean, F.lit(0.0))).alias("stddev"),
+        shown("low"), shown("high"),
         "violations",
     )
 

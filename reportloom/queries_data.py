@@ -58,7 +58,7 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         profile.between("actual", 0, 100),
         *(profile.between(c, 0, 20) for c in profile.COUNTS),
     )
-    states = profile.column_states(history, columns=[c for c in history.columns if c != "feed"], by=("feed",), checks=checks)
+    states = profile.column_states(history, columns=history.columns, by=("feed",), checks=checks)
     return profile.profile(states)
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from reportloom import queries_data
 from reportloom.operators import impute, profile, readings, regular, spikes
 
 HISTORY = "rec_id bigint, project_id string, year int, week int, plan double, actual double, n_disc int, n_scopes int, n_concerns int, n_activities int, recorded_at timestamp, feed int, load_id bigint"
@@ -215,6 +216,34 @@ def test_checks_share_a_scan(spark):
     assert (got["v"].rows, got["v"].nulls, got["v"].total) == (4, 1, 106.0)
 
 
+def test_profile_of_every_column(spark, sf):
+    """p5_profile has every column with its range and each check by itself."""
+    h = pd.read_parquet(f"{sf}/history.parquet")
+    got = {r.column_name: r for r in queries_data.p5_profile(spark, sf).collect()}
+    assert set(got) == set(h.columns)
+    for c in h.columns:
+        v = h[c].dropna()
+        as_ = str if c == "project_id" else pd.Timestamp if c == "recorded_at" else float
+        assert (as_(got[c].low), as_(got[c].high)) == (as_(v.min()), as_(v.max())), c
+    assert got["project_id"].violations == {"not_null": int(h.project_id.isna().sum()), "pattern": int((~h.project_id.dropna().str.fullmatch(r"PRJ-\d{7}")).sum())}
+    assert got["n_disc"].violations == {"between_0_20": int((~h.n_disc.dropna().between(0, 20)).sum())}
+    assert got["feed"].violations == {}
+
+
+def test_ranges_and_checks_merge_by_kind(spark):
+    """9 is below 10, whole numbers stay exact, NaN is in no range, checks of a column stay apart."""
+    t = dt.datetime
+    rows_ = [(1, 9, 9.0, "b", t(2024, 1, 2)), (1, 2**53, NAN, None, None), (2, 10, 10.5, "bad", t(2024, 1, 2, 0, 0, 0, 5)), (2, 2**53 + 1, None, "c", None), (3, None, None, None, None)]
+    df = spark.createDataFrame(rows_, "feed int, k bigint, v double, id string, at timestamp_ntz")
+    checks = (profile.not_null("id"), profile.matches("id", "^.$"))
+    got = {r.column_name: r for r in profile.profile(profile.column_states(df, columns=df.columns, by=("feed",), checks=checks)).collect()}
+    assert {c: (r.low, r.high) for c, r in got.items()} == {
+        "feed": ("1", "3"), "k": ("9", str(2**53 + 1)), "v": ("9.0", "10.5"), "id": ("b", "c"), "at": ("2024-01-02 00:00:00", "2024-01-02 00:00:00.000005"),
+    }
+    assert got["id"].violations == {"not_null": 2, "pattern": 1} and got["k"].violations == {}
+    assert (got["id"].rows, got["id"].nulls, got["feed"].rows) == (5, 2, 5)
+
+
 def test_empty_and_odd_tables(spark, dims):
     """Empty tables give empty results; nulls in any column and extra columns do no harm."""
     none = history(spark, [])
