@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportloom.functions.numeric import DISCIPLINES, weighted
@@ -86,3 +86,14 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     j = a.join(b, [*keys, "path"], "full_outer")
     status = F.when(F.col("_b").isNull(), "absent").when(F.col("_a").isNull(), "new").otherwise("changed")
     return j.withColumn("status", status).where("status <> 'changed' or not (before <=> after)").select(*keys, "path", "before", "after", "status")
+
+
+def diff_successive(snapshots: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, order, next_pin, path, before, after, status): every snapshot of a key against its next
+    one by ``order``, so that a change which is later reverted shows up twice."""
+    w = Window.partitionBy(key).orderBy(order)
+    s = snapshots.withColumns({"_prev": F.lag(order).over(w), "_next": F.lead(order).over(w)})
+    old = s.where("_next is not null").withColumn("next_pin", F.col("_next"))
+    new = s.where("_prev is not null").withColumn("next_pin", F.col(order)).withColumn(order, F.col("_prev"))
+    keys = [key, order, "next_pin"]
+    return diff(paths(old, keys), paths(new, keys), keys)

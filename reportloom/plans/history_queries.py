@@ -147,6 +147,15 @@ def summary_overlay(s, d):
     return structure.overlay(base, top, ["project_id", "scope"])
 
 
+def summary_overlay_pins(s, d):
+    """Scopes of every week by observation, overlaid with those of each pin of the week in turn; weeks
+    of a project without a pin have theirs once, with a null pin_no."""
+    w, keys = _t(s, d, "w32_2026"), ["project_id", "year", "week"]
+    top = _ok(w.select(*keys, "pin_no", F.explode("scopes").alias("scope", "v")).select(*keys, "pin_no", "scope", "v.plan", "v.actual"))
+    base = structure.weighted_overall(structure.tidy(_t(s, d, "obs_discipline")).where("scope is not null"), (*keys, "scope"))
+    return structure.overlay(base.join(w.select(*keys, "pin_no").distinct(), keys, "left"), top, [*keys, "pin_no", "scope"])
+
+
 def fixture_paths(s, d):
     return structure.paths(_pin(s, d, 1), ["project_id"])
 
@@ -155,6 +164,15 @@ def fixture_diff(s, d):
     return structure.diff(structure.paths(_pin(s, d, 1), ["project_id"]), structure.paths(_pin(s, d, 4), ["project_id"]), ["project_id"])
 
 
+def fixture_paths_pins(s, d):
+    return structure.paths(_t(s, d, "w32_2026"), ["project_id", "pin_no"])
+
+
+def fixture_diff_pins(s, d):
+    """Each pin of a project against its next one."""
+    return structure.diff_successive(_t(s, d, "w32_2026"), "project_id", "pin_no")
+
+
 def variance_bands(s, d):
     p = _ok(_panel(s, d))
     v = numeric.exact(F.col("actual")) - numeric.exact(F.col("plan"))
@@ -163,11 +181,19 @@ def variance_bands(s, d):
 
 def summary_rows(s, d):
     """Project rows with their scope rows below, of the first pin."""
-    pin = _pin(s, d, 1)
-    own = _ok(pin).select("project_id", F.lit(0).alias("row_no"), F.lit(None).cast("string").alias("scope"), "plan", "actual", F.col("n_concerns").alias("concerns"), F.col("n_activities").alias("activities"))
+    return _summary(_pin(s, d, 1), "project_id")
+
+
+def summary_rows_pins(s, d):
+    """Project rows with their scope rows below, of every pin."""
+    return _summary(_t(s, d, "w32_2026"), "project_id", "pin_no")
+
+
+def _summary(pin: DataFrame, *keys: str) -> DataFrame:
+    own = _ok(pin).select(*keys, F.lit(0).alias("row_no"), F.lit(None).cast("string").alias("scope"), "plan", "actual", F.col("n_concerns").alias("concerns"), F.col("n_activities").alias("activities"))
     scopes = F.array_sort(F.map_keys("scopes"))
-    sub = pin.select("project_id", "scopes", F.posexplode(scopes).alias("k", "scope"))
-    sub = sub.select("project_id", (F.col("k") + 1).alias("row_no"), "scope", F.element_at("scopes", F.col("scope"))["plan"].alias("plan"), F.element_at("scopes", F.col("scope"))["actual"].alias("actual"), F.lit(None).cast("int").alias("concerns"), F.lit(None).cast("int").alias("activities"))
+    sub = pin.select(*keys, "scopes", F.posexplode(scopes).alias("k", "scope"))
+    sub = sub.select(*keys, (F.col("k") + 1).alias("row_no"), "scope", F.element_at("scopes", F.col("scope"))["plan"].alias("plan"), F.element_at("scopes", F.col("scope"))["actual"].alias("actual"), F.lit(None).cast("int").alias("concerns"), F.lit(None).cast("int").alias("activities"))
     all_ = _ok(own.unionByName(sub))
     v = numeric.exact(F.col("actual")) - numeric.exact(F.col("plan"))
     return all_.withColumn("band", numeric.variance_band(v))
@@ -204,6 +230,7 @@ def queries() -> dict:
         findings_all, findings_counts, findings_by_project, findings_text, rule_scope_incomplete, rule_content_not_prose,
         discipline_rows, snapshot_discipline_rows, weighted_overall, summary_overlay, fixture_paths, fixture_diff,
         variance_bands, summary_rows, concern_section, run_summary, seed_round_trip, seed_first_wins,
+        fixture_paths_pins, fixture_diff_pins, summary_rows_pins, summary_overlay_pins,
     )
     return {f.__name__: f for f in named} | {f"rule_{n.replace('-', '_')}": rule(n) for n in PANEL_RULES}
 
@@ -295,20 +322,23 @@ _CLEAN = "case when not isnan({0}) then {0} end"
 _NUM = "cast(cast(case when not isnan({0}) then {0} end as decimal(9,2)) as varchar)"
 
 
-def _paths(pin: int) -> str:
+def _paths(pins: str, keys: str = "project_id") -> str:
     k3 = lambda prefix, src, e: " union all ".join(
-        f"select project_id, {prefix} || 'disciplines.' || {e}.key || '.{k}' as path, {_NUM.format(f'{e}.value[{k + 1}]')} as value from ({src})" for k in range(3)
+        f"select {keys}, {prefix} || 'disciplines.' || {e}.key || '.{k}' as path, {_NUM.format(f'{e}.value[{k + 1}]')} as value from ({src})" for k in range(3)
     )
-    pins = f"(select * from w32_2026 where pin_no = {pin})"
-    scal = " union all ".join(f"select project_id, '{c}' as path, {_NUM.format(c)} as value from {pins}" for c in ("plan", "actual"))
-    scal += "".join(f" union all select project_id, '{c}', cast({c} as varchar) from {pins}" for c in ("n_concerns", "n_activities", "first_concern", "first_activity"))
-    own = k3("''", f"select project_id, unnest(map_entries(disciplines)) as e from {pins}", "e")
-    sc = f"select project_id, unnest(map_entries(scopes)) as s from {pins}"
-    scp = " union all ".join(f"select project_id, 'scopes.' || s.key || '.{f}' as path, {_NUM.format(f's.value.{f}')} as value from ({sc})" for f in ("plan", "actual"))
-    nested = k3("'scopes.' || s.key || '.'", f"select project_id, s, unnest(map_entries(s.value.disciplines)) as e from ({sc})", "e")
+    scal = " union all ".join(f"select {keys}, '{c}' as path, {_NUM.format(c)} as value from {pins}" for c in ("plan", "actual"))
+    scal += "".join(f" union all select {keys}, '{c}', cast({c} as varchar) from {pins}" for c in ("n_concerns", "n_activities", "first_concern", "first_activity"))
+    own = k3("''", f"select {keys}, unnest(map_entries(disciplines)) as e from {pins}", "e")
+    sc = f"select {keys}, unnest(map_entries(scopes)) as s from {pins}"
+    scp = " union all ".join(f"select {keys}, 'scopes.' || s.key || '.{f}' as path, {_NUM.format(f's.value.{f}')} as value from ({sc})" for f in ("plan", "actual"))
+    nested = k3("'scopes.' || s.key || '.'", f"select {keys}, s, unnest(map_entries(s.value.disciplines)) as e from ({sc})", "e")
     return f"{scal} union all {own} union all {scp} union all {nested}"
 
 
+def _pin_sql(pin: int) -> str:
+    return f"(select * from w32_2026 where pin_no = {pin})"
+
+
 def oracle_sql() -> dict[str, str]:
     d2 = "cast({0} as decimal(9,2))"
     inside = "case when {0} between 0 and 100 then {0} end"
@@ -360,11 +390,11 @@ top as (select project_id, s.key as scope, {inside.format("s.value.plan")} as pl
 select coalesce(t.project_id, b.project_id) as project_id, coalesce(t.scope, b.scope) as scope, coalesce(t.plan, b.plan) as plan, coalesce(t.actual, b.actual) as actual,
   case when t.scope is not null and b.scope is not null then 'both' when t.scope is not null then 'top' else 'base' end as source
 from base b full outer join top t on b.project_id = t.project_id and b.scope = t.scope""",
-        "fixture_paths": _paths(1),
+        "fixture_paths": _paths(_pin_sql(1)),
         "fixture_diff": f"""select * from (
   select coalesce(a.project_id, b.project_id) as project_id, coalesce(a.path, b.path) as path, a.value as before, b.value as after,
     case when b.path is null then 'absent' when a.path is null then 'new' else 'changed' end as status
-  from ({_paths(1)}) a full outer join ({_paths(4)}) b on a.project_id = b.project_id and a.path = b.path
+  from ({_paths(_pin_sql(1))}) a full outer join ({_paths(_pin_sql(4))}) b on a.project_id = b.project_id and a.path = b.path
 ) where status <> 'changed' or before is distinct from after""",
         "variance_bands": f"""select project_id, year, week, coalesce(cast({d2.format(inside.format("plan"))} as varchar), '–') as plan_text,
   coalesce(cast({d2.format(inside.format("actual"))} as varchar), '–') as actual_text,
@@ -388,6 +418,35 @@ select kind, count(*) filter (found) as found, count(*) filter (not found and du
   cast(len(list_filter(string_split_regex(coalesce(first_concern, ''), '\\r?\\n'), lambda x: trim(x, ' ') <> '')) as int) as n_concerns,
   cast(len(list_filter(string_split_regex(coalesce(first_activity, ''), '\\r?\\n'), lambda x: trim(x, ' ') <> '')) as int) as n_activities from
   (select * replace ({_CLEAN.format("plan")} as plan, {_CLEAN.format("actual")} as actual) from w32_2026)""",
+        "fixture_paths_pins": _paths("w32_2026", "project_id, pin_no"),
+        "fixture_diff_pins": f"""with p as ({_paths("w32_2026", "project_id, pin_no")}),
+steps as (select project_id, pin_no, lead(pin_no) over (partition by project_id order by pin_no) as next_pin from (select distinct project_id, pin_no from w32_2026)),
+a as (select p.*, s.next_pin from p join steps s on p.project_id = s.project_id and p.pin_no = s.pin_no where s.next_pin is not null),
+b as (select p.project_id, p.path, p.value, s.pin_no, s.next_pin from p join steps s on p.project_id = s.project_id and p.pin_no = s.next_pin)
+select * from (
+  select coalesce(a.project_id, b.project_id) as project_id, coalesce(a.pin_no, b.pin_no) as pin_no, coalesce(a.next_pin, b.next_pin) as next_pin,
+    coalesce(a.path, b.path) as path, a.value as before, b.value as after,
+    case when b.path is null then 'absent' when a.path is null then 'new' else 'changed' end as status
+  from a full outer join b on a.project_id = b.project_id and a.pin_no = b.pin_no and a.path = b.path
+) where status <> 'changed' or before is distinct from after""",
+        "summary_rows_pins": f"""with r as (
+  select project_id, pin_no, 0 as row_no, cast(null as varchar) as scope, plan, actual, n_concerns as concerns, n_activities as activities from w32_2026
+  union all
+  select project_id, pin_no, cast(row_number() over (partition by project_id, pin_no order by s.key) as int), s.key, s.value.plan, s.value.actual, null, null
+  from (select project_id, pin_no, unnest(map_entries(scopes)) as s from w32_2026)
+)
+select project_id, pin_no, row_no, scope, {inside.format("plan")} as plan, {inside.format("actual")} as actual, concerns, activities, {band} as band from r""",
+        "summary_overlay_pins": f"""with {_TIDY},
+base as (select o.project_id, o.year, o.week, k.pin_no, o.scope, o.plan, o.actual
+  from ({_weighted("project_id, year, week, scope", "(select * from tidy where scope is not null)")}) o
+  left join (select distinct project_id, year, week, pin_no from w32_2026) k on o.project_id = k.project_id and o.year = k.year and o.week = k.week),
+top as (select project_id, year, week, pin_no, s.key as scope, {inside.format("s.value.plan")} as plan, {inside.format("s.value.actual")} as actual
+  from (select project_id, year, week, pin_no, unnest(map_entries(scopes)) as s from w32_2026))
+select coalesce(t.project_id, b.project_id) as project_id, coalesce(t.year, b.year) as year, coalesce(t.week, b.week) as week,
+  coalesce(t.pin_no, b.pin_no) as pin_no, coalesce(t.scope, b.scope) as scope,
+  coalesce(t.plan, b.plan) as plan, coalesce(t.actual, b.actual) as actual,
+  case when t.scope is not null and b.scope is not null then 'both' when t.scope is not null then 'top' else 'base' end as source
+from base b full outer join top t on b.project_id = t.project_id and b.year = t.year and b.week = t.week and b.pin_no = t.pin_no and b.scope = t.scope""",
         "seed_first_wins": """select project_id || '_W' || week || '_' || year as key, min(snap_id) as snap_id, cast(arg_min(coalesce(cardinality(scopes), 0), snap_id) as int) as n_scopes
 from w32_2026 group by 1""",
     }

@@ -336,3 +336,20 @@ def test_empty_tables(spark, sf, tmp_path):
         for name, q in m.queries().items():
             n = q(spark, str(tmp_path)).count()
             assert n <= (18 if name in ("status_round_trip", "p5_profile") else 1), name
+
+
+def test_every_pin_is_diffed(spark, sf):
+    """A plan that changes and reverts between the first and the last pin is reported at each step."""
+    none = "map()"
+    snap = lambda pin, plan: f"select 'A' as project_id, {pin} as pin_no, cast({plan} as double) as plan, 1D as actual, cast({none} as map<string, array<double>>) as disciplines, cast({none} as map<string, struct<plan: double, actual: double, disciplines: map<string, array<double>>>>) as scopes, 0 as n_concerns, 0 as n_activities, 'c' as first_concern, 'a' as first_activity"
+    pins = spark.sql(" union all ".join(snap(*x) for x in ((4, 5), (1, 5), (2, 7), (6, 5))))
+    got = {tuple(r) for r in structure.diff_successive(pins, "project_id", "pin_no").collect()}
+    assert got == {("A", 1, 2, "plan", "5.00", "7.00", "changed"), ("A", 2, 4, "plan", "7.00", "5.00", "changed")}
+    w = pd.read_parquet(f"{sf}/w32_2026.parquet").sort_values(["project_id", "pin_no"])
+    text_ = [None if v != v or v is None else f"{v:.2f}" for v in w.plan]
+    steps = zip(w.project_id, w.pin_no, text_, w.project_id[1:], w.pin_no[1:], text_[1:], strict=False)
+    want = {(p, a, b, x, y) for p, a, x, q, b, y in steps if p == q and x != y}
+    done = history_queries.queries()["fixture_diff_pins"](spark, sf).where("path = 'plan'")
+    assert want and {tuple(r) for r in done.select("project_id", "pin_no", "next_pin", "before", "after").collect()} == want
+    for name in ("fixture_paths_pins", "summary_rows_pins"):
+        assert history_queries.queries()[name](spark, sf).select("project_id", "pin_no").distinct().count() == len(w)
