@@ -161,6 +161,25 @@ def test_tail_leaves_few_regular_readings(spark, sf):
     assert j.where("cutoff > greatest(3, 8 * usual_step) / 2 + 1e-9").count() == 0
 
 
+def test_spikes_of_every_year_are_found(spark, dims):
+    """A spike that comes each year in the same season is its season's usual deviation, and a spike
+    by the stated definition none the less."""
+    out = []
+    for year in range(2010, 2020):
+        for k, week in enumerate([5, *range(20, 40)]):
+            out.append((len(out), "A", year, week, 30.0 + 0.1 * (k % 3) + 10.0 * (week == 5), None))
+    h = history(spark, out)
+    want = brute.p4(*frames((h, *dims[:2])))
+    assert want == {(i, "plan") for i, _, year, week, *_ in out if week == 5 and year > 2010}
+    assert rows(spikes.implausible(h, *dims[:2])) == want
+
+
+def test_risk_cutoff_is_not_clamped(spark, sf):
+    j = spikes.judged_readings(*tables(spark, sf)[:3])
+    assert j.where("cutoff > risk_cutoff or (cutoff < risk_cutoff and abs(cutoff - greatest(3, 8 * usual_step) / 2) > 1e-9) or (cutoff is null) <> (risk_cutoff is null)").count() == 0
+    assert j.where("cutoff < risk_cutoff").count() > 0
+
+
 def _loads(spark, odd=None, n=200, loads=10):
     rng = np.random.default_rng(3)
     out = []
