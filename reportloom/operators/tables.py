@@ -45,7 +45,7 @@ def header_by_target(rows: DataFrame, header: str, target: str) -> DataFrame:
 def labelled_pairs(rows: DataFrame) -> DataFrame:
     """(doc_id, label, plan, actual): of rows whose first cell is a label with two or more figures in
     range, by the four-or-two rule; the last row of a label wins."""
-    figures = F.filter(F.transform(F.slice("cells", 2, 100_000), parse_pct), lambda v: v.isNotNull())
+    figures = F.filter(F.transform(F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))), parse_pct), lambda v: v.isNotNull())
     r = rows.withColumn("_p", four_or_two(figures)).where("_p is not null")
     r = r.withColumn("label", F.lower(collapse(F.get("cells", F.lit(0)))))
     w = Window.partitionBy("doc_id", "label").orderBy(F.desc("row_no"))

@@ -72,7 +72,7 @@ def _text_candidates(pages: DataFrame, grammar: str, priority: int) -> DataFrame
 
 
 def _figures(cells: Column) -> Column:
-    return F.filter(F.transform(F.slice(cells, 2, 100_000), parse_pct), lambda v: v.isNotNull())
+    return F.filter(F.transform(F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0))), parse_pct), lambda v: v.isNotNull())
 
 
 def weekly_table(pages: DataFrame, rows: DataFrame) -> DataFrame:

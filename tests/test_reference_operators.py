@@ -353,3 +353,10 @@ def test_every_pin_is_diffed(spark, sf):
     assert want and {tuple(r) for r in done.select("project_id", "pin_no", "next_pin", "before", "after").collect()} == want
     for name in ("fixture_paths_pins", "summary_rows_pins"):
         assert history_queries.queries()[name](spark, sf).select("project_id", "pin_no").distinct().count() == len(w)
+
+
+def test_figures_of_a_very_long_line(spark):
+    """Figures after more than 100,000 cells count."""
+    g = tables.grid(doc(spark, "Engineering" + "\t" * 100_001 + "9\t8", "\t"))
+    assert {(r.label, r.plan, r.actual) for r in tables.labelled_pairs(g).collect()} == {("engineering", 9.0, 8.0)}
+    assert sorted(r.n for r in g.select(F.size(progress._figures(F.col("cells"))).alias("n")).collect()) == [0, 2]
