@@ -63,6 +63,11 @@ def history_of_project(s, d):
     return h.join(h.select(first), "project_id", "left_semi").select("project_id", "year", "week", "plan", "actual").orderBy("year", "week")
 
 
+def history_of_projects(s, d):
+    """The recorded weeks of every project, oldest first."""
+    return _panel(s, d).select("project_id", "year", "week", "plan", "actual").orderBy("project_id", "year", "week")
+
+
 def prev_week(s, d):
     return history.with_previous(_panel(s, d)).select("project_id", "year", "week", "plan", "actual", "prev_year", "prev_week", "prev_plan", "prev_actual", "prev_n_disc", "prev_n_scopes")
 
@@ -230,7 +235,7 @@ def queries() -> dict:
         findings_all, findings_counts, findings_by_project, findings_text, rule_scope_incomplete, rule_content_not_prose,
         discipline_rows, snapshot_discipline_rows, weighted_overall, summary_overlay, fixture_paths, fixture_diff,
         variance_bands, summary_rows, concern_section, run_summary, seed_round_trip, seed_first_wins,
-        fixture_paths_pins, fixture_diff_pins, summary_rows_pins, summary_overlay_pins,
+        fixture_paths_pins, fixture_diff_pins, summary_rows_pins, summary_overlay_pins, history_of_projects,
     )
     return {f.__name__: f for f in named} | {f"rule_{n.replace('-', '_')}": rule(n) for n in PANEL_RULES}
 
@@ -349,6 +354,7 @@ def oracle_sql() -> dict[str, str]:
         "history_first_wins": _panel_sql(last=False),
         "history_summary": f"select count(*) as n_rows, count(distinct project_id) as n_projects, count(distinct year * 100 + week) as n_weeks, min(year * 100 + week) as first_week, max(year * 100 + week) as last_week from ({_panel_sql()})",
         "history_of_project": f"select project_id, year, week, plan, actual from ({_panel_sql()}) where project_id = (select min(project_id) from history)",
+        "history_of_projects": f"select project_id, year, week, plan, actual from ({_panel_sql()})",
         "prev_week": f"with {_PREV} select project_id, year, week, plan, actual, prev_year, prev_week, prev_plan, prev_actual, prev_n_disc, prev_n_scopes from prev",
         "frozen_streak": f"with {_PREV} select project_id, year, week, cast(prev_streak as int) as prev_streak from prev",
         "report_due": f"with {_DUE} select project_id, cadence, last_year, last_week, elapsed, due from due",

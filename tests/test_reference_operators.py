@@ -360,3 +360,10 @@ def test_figures_of_a_very_long_line(spark):
     g = tables.grid(doc(spark, "Engineering" + "\t" * 100_001 + "9\t8", "\t"))
     assert {(r.label, r.plan, r.actual) for r in tables.labelled_pairs(g).collect()} == {("engineering", 9.0, 8.0)}
     assert sorted(r.n for r in g.select(F.size(progress._figures(F.col("cells"))).alias("n")).collect()) == [0, 2]
+
+
+def test_history_of_every_project_is_in_order(spark, sf):
+    h = pd.read_parquet(f"{sf}/history.parquet").dropna(subset=["project_id", "year", "week"])
+    want = sorted({(p, int(y), int(w)) for p, y, w in zip(h.project_id, h.year, h.week, strict=True)})
+    got = history_queries.queries()["history_of_projects"](spark, sf).select("project_id", "year", "week").collect()
+    assert [tuple(r) for r in got] == want
