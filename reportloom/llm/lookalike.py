@@ -26,6 +26,14 @@ CYRILLIC = "АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝ"
 CYRILLIC_AS = "ABESIJKMHOPCTYXaesijopcyxhdqw"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧανορικγυ"
 GREEK_AS = "ABEZHIKMNOPTYXavopikyu"
+# Rarer letters of the same shape, in Cyrillic, Greek, Armenian, Cherokee and Latin extensions.
+RARER = (
+    ("\u04c0\u04cf\u0474\u0475\u04ae\u04af\u051a\u051c\u050c\u04d4\u04d5\u04d8\u04d9", "IlVvYyQWG\u00c6\u00e6\u018f\u0259"),
+    ("\u03f9\u03f2\u03f3\u037f\u03dc", "CcjJF"),
+    ("\u0585\u057d\u0555\u054d\u053c\u054f\u0570\u0578\u0566\u0581\u0575", "ouOULShnqgj"),
+    ("\u13a0\u13a1\u13a2\u13a5\u13aa\u13ab\u13ac\u13b3\u13b7\u13bb\u13bd\u13c0\u13c2\u13c3\u13cf\u13d2\u13d4\u13d5\u13d9\u13da\u13de\u13df\u13e2\u13e6\u13e7\u13f3\u13f4", "DRTiAJEWMHYGhZbRWSVSLCPKdGB"),
+    ("\u0261\u0251\u1d0f\u1d04\u1d20\u1d21\u1d22\ua731", "gaocvwzs"),
+)
 # Marks drawn like another mark.
 MARKS = "\u2010\u2011\u2212\ua789\u2236\u066a\u2215\u037e\u2223"
 MARKS_AS = "---::%/;|"
@@ -69,6 +77,7 @@ def prototypes() -> dict[int, str]:
         table[cp] = _prototype(chr(cp)) or ""
     for a, b in zip(CYRILLIC + GREEK + MARKS, CYRILLIC_AS + GREEK_AS + MARKS_AS, strict=True):
         table[ord(a)] = b
+    table.update((ord(a), b) for letters, as_ in RARER for a, b in zip(letters, as_, strict=True))
     # a compatibility form of a look-alike letter goes all the way to its prototype
     for cp, s in list(table.items()):
         table[cp] = "".join(table.get(ord(c), c) for c in s)

@@ -46,6 +46,20 @@ def test_different_look(a, b):
     assert lookalike.skeleton(a) != lookalike.skeleton(b)
 
 
+@pytest.mark.parametrize(
+    "letters,plain",
+    [
+        ("\u04c0\u04cf\u0474\u0475\u04ae\u04af\u051a\u051b\u051c\u051d", "IlVvYyQqWw"),
+        ("\u03f9\u03f2\u03f3\u037f", "CcjJ"),
+        ("\u0585\u057d\u0555\u054d", "ouOU"),
+        ("\u13aa\u13df\u13ac\u13bb\u13b7\u13a2", "ACEHMT"),
+        ("\u0261\u0251", "ga"),
+    ],
+)
+def test_rarer_letters_of_the_same_shape(letters, plain):
+    assert lookalike.skeleton(letters) == lookalike.skeleton(plain) == plain
+
+
 def test_pairs_equal_brute_force(spark):
     rng = random.Random(4)
     swaps = {"a": "а", "e": "е", "o": "ο", " ": " ", "p": "р"}
