@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reportloom.operators.readings import WEEKS, counted_rows
 
-UNITS = 4  # time units of a period, whatever its length; step_weeks must divide it
+UNITS = 1 << 16  # a time is its period times UNITS and the week inside it, so step_weeks is below UNITS
 REACH = 3  # periods to either side within which readings count
 MIN_SUPPORT = 1.5  # effective number of readings below which no value is filled in
 FIELDS = ("plan", "actual")
@@ -21,10 +21,10 @@ FIELDS = ("plan", "actual")
 
 def stepped(rows: DataFrame, cadences: DataFrame) -> DataFrame:
     """``rows`` with ``step``, the label weeks of a period.  A null or unknown cadence is weekly,
-    as is a step that does not divide four weeks."""
+    as is one without a step of a week or more."""
     steps = cadences.where("cadence is not null").groupBy("cadence").agg(F.max("step_weeks").alias("step"))
     joined = rows.join(steps, "cadence", "left")
-    ok = F.col("step").isNotNull() & F.col("step").isin(*(d for d in range(1, UNITS + 1) if UNITS % d == 0))
+    ok = F.col("step").isNotNull() & F.col("step").between(1, UNITS - 1)
     return joined.withColumn("step", F.when(ok, F.col("step")).otherwise(1))
 
 
@@ -76,8 +76,9 @@ def regular_grid(history: DataFrame, projects: DataFrame, expectations: DataFram
     rows = stepped(counted_rows(history, projects, expectations), cadences)
     by_time = Window.partitionBy("project_id").orderBy("t")
     rows = rows.withColumn("_first", F.min("t").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("u", ((F.col("t") - F.col("_first")) * (F.lit(UNITS) / F.col("step")).cast("int")).cast("int"))
-    rows = rows.withColumn("_k", F.expr(f"u div {UNITS}").cast("int")).withColumn("_next", F.lead("_k").over(by_time))
+    since = F.col("t") - F.col("_first")
+    rows = rows.withColumn("_k", F.floor(since / F.col("step")).cast("int")).withColumn("_next", F.lead("_k").over(by_time))
+    rows = rows.withColumn("u", F.col("_k").cast("bigint") * UNITS + since % F.col("step"))
     # the last row of a period brings in the grid times from its own period up to the next row's
     grid = F.when(F.col("_next").isNull(), F.array("_k")).when(F.col("_next") > F.col("_k"), F.sequence("_k", F.col("_next") - 1)).otherwise(
         F.array().cast("array<int>")
@@ -87,12 +88,12 @@ def regular_grid(history: DataFrame, projects: DataFrame, expectations: DataFram
     reading = F.struct(F.col("u").alias("u"), F.lit(False).alias("grid"), *(fit_to(f).alias(f) for f in FIELDS), *(count(f).alias(f"n_{f}") for f in FIELDS))
     point = F.transform(
         grid,
-        lambda k: F.struct((k * UNITS).cast("int").alias("u"), F.lit(True).alias("grid"), *(F.lit(None).cast("double").alias(f) for f in FIELDS), *(F.lit(0).alias(f"n_{f}") for f in FIELDS)),
+        lambda k: F.struct((k.cast("bigint") * UNITS).alias("u"), F.lit(True).alias("grid"), *(F.lit(None).cast("double").alias(f) for f in FIELDS), *(F.lit(0).alias(f"n_{f}") for f in FIELDS)),
     )
     events = rows.select("project_id", "step", F.col("_first").alias("first"), F.explode(F.concat(F.array(reading), point)).alias("e")).select(
         "project_id", "step", "first", "e.*"
     )
-    events = events.withColumn("x", F.col("u") / F.lit(float(UNITS)))
+    events = events.withColumn("x", F.expr(f"u div {UNITS} + (u % {UNITS}) / cast(step as double)"))
     by_unit = Window.partitionBy("project_id").orderBy("u")
     near, inside = by_unit.rangeBetween(-REACH * UNITS, REACH * UNITS), by_unit.rangeBetween(0, UNITS - 1)
     sums = {name: F.sum(c).over(near) for f in FIELDS for name, c in _moments(f).items()}

@@ -120,6 +120,17 @@ def test_missing_periods(spark, sf, dims, mixed, which):
     assert rows(regular.missing_periods(h, p, e, c)) == brute.p2(*frames((h, p, e, c)))
 
 
+@pytest.mark.parametrize("step", [1, 2, 3, 4, 6, 8, 13])
+def test_periods_of_any_length(spark, dims, mixed, step):
+    """Periods of a step that does not divide four weeks are as long as stated, and fitted in periods."""
+    p, e, _ = dims
+    c = spark.createDataFrame([("weekly", 1, 1), ("monthly", 5, 4), ("odd", 1, step)], "cadence string, grace_weeks int, step_weeks int")
+    assert rows(regular.missing_periods(mixed, p, e, c)) == brute.p2(*frames((mixed, p, e, c)))
+    line = history(spark, [(k, "D", 2024, 1 + k * step, 10.0 + k, None) for k in (0, 1, 3)])
+    got = regular.regular_grid(line, p, e, c).orderBy("year", "week").collect()
+    assert [(r.week, r.step_weeks, r.plan, r.plan_status) for r in got] == [(1 + k * step, step, 10.0 + k, "filled" if k == 2 else "observed") for k in range(4)]
+
+
 def test_grid_values(spark, dims):
     """The window moments give the local linear fit computed directly."""
     vals = {0: 1.0, 1: 2.5, 2: 3.0, 5: 9.0, 6: 9.5, 13: 30.0}
