@@ -4,6 +4,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,21 +198,86 @@ def test_leaks(spark):
     assert shared[0] == 1.0 and shared[3] == pytest.approx(22 / 60)
 
 
-def test_leaks_by_shuffled_join(spark):
-    """The way for item sets too large to broadcast gives the same."""
+def test_leaks_by_blocks(spark):
+    """Item sets larger than a block are searched block by block, with the same rows."""
     d, i, want = _texts(spark)
-    big, small = (rows(leakage.leaked_items(d, i, broadcast_chars=n)) for n in (0, 1 << 30))
-    assert big == small and {x[:2] for x in big} == want
+    one, many = (rows(leakage.leaked_items(d, i, block_chars=n)) for n in (1 << 30, 300))
+    assert one == many and {x[:2] for x in one} == want
+
+
+def _paired(item, *texts):
+    """(paired words, item words) of every text, whatever its share."""
+    index = leakage.ItemIndex([1], [item])
+    v, offsets = index.numbered(pa.array(list(texts), pa.string()))
+    got = {t: (n, of) for t, _, n, of, _ in leakage.leaked(index, v, offsets, 0, 1)}
+    return [got.get(t, (0, len(index.words[0]))) for t in range(len(texts))]
 
 
 def test_seeds_tolerate_a_substitution():
-    hasher = leakage._Hasher()
     item = [f"w{k}" for k in range(20)]
-    index = leakage.ItemIndex([(1, " ".join(item))], hasher)
-    for at in range(20):
-        words = [*item[:at], "changed", *item[at + 1 :]]
-        h = np.array([hasher[w] for w in words], np.uint64)
-        assert len(index.hits(h)[0]) and next(leakage.leaked(h, index, 1 / 3, 10))[1] >= 17
+    texts = [" ".join([*item[:at], "changed", *item[at + 1 :]]) for at in range(20)]
+    assert all(n >= 17 for n, _ in _paired(" ".join(item), *texts))
+
+
+def test_words_are_paired_once():
+    """Copies of a phrase that an item repeats add up; one copy counts once."""
+    phrase = " ".join(f"p{k}" for k in range(12))
+    copies = " ".join(f"{phrase} z{k} y{k} q{k}" for k in range(21))
+    assert _paired(" ".join([phrase] * 60), copies, f"aa bb {phrase} cc dd") == [(252, 720), (12, 720)]
+    assert _paired(" ".join([phrase] * 20), f"aa bb {phrase} cc dd") == [(12, 240)]
+    assert _paired("x " * 3000, "x " * 3000, "x " * 1000) == [(3000, 3000), (1000, 3000)]
+
+
+def test_pairs_are_as_many_as_can_be():
+    """Against plain augmentation over all cells of all pieces of all diagonals."""
+    rng = random.Random(11)
+    for _ in range(300):
+        words = "abcdef"[: rng.randint(2, 6)]
+        phrases = [[rng.choice(words) for _ in range(rng.randint(5, 14))] for _ in range(3)]
+        make = lambda n: [w for _ in range(n) for w in (rng.choice(phrases) if rng.random() < 0.8 else [rng.choice("uvxyz")])]  # noqa: E731, B023
+        item, doc = make(rng.randint(2, 6)), make(rng.randint(2, 8))
+        index = leakage.ItemIndex([1], [" ".join(item)])
+        v, offsets = index.numbered(pa.array([" ".join(doc)]))
+        a, b = v.tolist(), index.words[0]
+        cells = {}
+        for d in range(-len(b), len(a)):
+            done = -1
+            for i in range(max(0, -d), min(len(b), len(a) - d)):
+                fits = lambda m: all(i + k < len(b) and i + d + k < len(a) and b[i + k] == a[i + d + k] for k, c in enumerate(m) if c == "1")  # noqa: E731, B023
+                if i > done and any(map(fits, leakage.MASKS)):
+                    lo, done = leakage._reach(a, b, d, i, -1), leakage._reach(a, b, d, i, 1)
+                    if done - lo + 1 >= leakage.MIN_PIECE:
+                        for k in range(lo, done + 1):
+                            cells.setdefault(k, set()).add(k + d)
+        mate = {}
+
+        def free(i, seen):
+            for j in cells[i]:
+                if j in seen:
+                    continue
+                seen.add(j)
+                if j not in mate or free(mate[j], seen):
+                    mate[j] = i
+                    return True
+            return False
+
+        want = sum(free(i, set()) for i in cells)
+        assert _paired(" ".join(item), " ".join(doc))[0][0] == want, (item, doc)
+
+
+def test_recall_over_substitutions():
+    """Items with a share of their words replaced at random: found while a few words differ."""
+    rng = random.Random(3)
+    vocabulary = [f"v{k}" for k in range(2000)]
+    items = [[rng.choice(vocabulary) for _ in range(90)] for _ in range(60)]
+    found = {}
+    for rate in (0.05, 0.1, 0.15, 0.2):
+        hit = 0
+        for item in items:
+            text = " ".join(w if rng.random() >= rate else "other" for w in item)
+            hit += _paired(" ".join(item), f"before {text} after")[0][0] * 3 >= len(item)
+        found[rate] = hit / len(items)
+    assert found[0.05] == found[0.1] == 1.0 and found[0.15] > 0.95 and found[0.2] > 0.75, found
 
 
 # --- problem 3 -------------------------------------------------------------------------------
