@@ -26,13 +26,15 @@ CYRILLIC = "АВЕЅІЈКМНОРСТУХаеѕіјорсухһԁԛԝ"
 CYRILLIC_AS = "ABESIJKMHOPCTYXaesijopcyxhdqw"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧανορικγυ"
 GREEK_AS = "ABEZHIKMNOPTYXavopikyu"
-# Rarer letters of the same shape, in Cyrillic, Greek, Armenian, Cherokee and Latin extensions.
+# Rarer letters of the same shape, in Cyrillic, Greek, Armenian, Cherokee, Latin extensions, Lisu and Coptic.
 RARER = (
     ("\u04c0\u04cf\u0474\u0475\u04ae\u04af\u051a\u051c\u050c\u04d4\u04d5\u04d8\u04d9", "IlVvYyQWG\u00c6\u00e6\u018f\u0259"),
     ("\u03f9\u03f2\u03f3\u037f\u03dc", "CcjJF"),
     ("\u0585\u057d\u0555\u054d\u053c\u054f\u0570\u0578\u0566\u0581\u0575", "ouOULShnqgj"),
     ("\u13a0\u13a1\u13a2\u13a5\u13aa\u13ab\u13ac\u13b3\u13b7\u13bb\u13bd\u13c0\u13c2\u13c3\u13cf\u13d2\u13d4\u13d5\u13d9\u13da\u13de\u13df\u13e2\u13e6\u13e7\u13f3\u13f4", "DRTiAJEWMHYGhZbRWSVSLCPKdGB"),
-    ("\u0261\u0251\u1d0f\u1d04\u1d20\u1d21\u1d22\ua731", "gaocvwzs"),
+    ("\u0261\u0251\u1d0f\u1d04\u1d20\u1d21\u1d22\ua731\u0131\u0237", "gaocvwzsij"),
+    ("\ua4d0\ua4d1\ua4d3\ua4d4\ua4d6\ua4d7\ua4d9\ua4da\ua4dc\ua4dd\ua4df\ua4e0\ua4e1\ua4e2\ua4e3\ua4e6\ua4e7\ua4ea\ua4eb\ua4ec\ua4ee\ua4f0\ua4f2\ua4f3\ua4f4", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    ("\u2c8e\u2c92\u2c94\u2c98\u2c9a\u2c9e\u2c9f\u2ca2\u2ca3\u2ca4\u2ca5\u2ca6\u2ca8\u2cac", "HIKMNOoPpCcTYX"),
 )
 # Marks drawn like another mark.
 MARKS = "\u2010\u2011\u2212\ua789\u2236\u066a\u2215\u037e\u2223"
@@ -110,9 +112,16 @@ def skeleton_udf(texts: pd.Series) -> pd.Series:
     return pd.Series([skeleton(t) for t in texts], dtype=object)
 
 
+def skeleton_of(text: Column) -> Column:
+    """The consistent form as an expression; texts of plain characters only take no step in Python."""
+    plain = text.rlike(r"\A[\t\n\r -~]*\z")
+    lines = F.regexp_replace(text, r"(?<![ \t])[ \t]*+(?:\r\n?|\n)", "\n")
+    return F.when(plain, F.btrim(lines, F.lit("\t\n\r "))).otherwise(skeleton_udf(F.when(~plain, text)))
+
+
 def with_skeleton(df: DataFrame, text: str = "text", out: str = "skeleton") -> DataFrame:
     """All columns of ``df`` and the consistent form of ``text``."""
-    return df.withColumn(out, skeleton_udf(F.col(text)))
+    return df.withColumn(out, skeleton_of(F.col(text)))
 
 
 def _digest(c: Column) -> Column:
@@ -123,7 +132,7 @@ def keyed(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFram
     """(doc_id, cls, spell): 128-bit digests of skeleton and of text, of the documents with
     visible text.  Texts are dropped here, so later exchanges carry about 50 bytes a row."""
     base = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null and doc_id is not null")
-    skel = base.select("doc_id", "text", skeleton_udf("text").alias("sk"))
+    skel = base.select("doc_id", "text", skeleton_of(F.col("text")).alias("sk"))
     return skel.where("sk <> ''").select("doc_id", _digest(F.col("sk")).alias("cls"), _digest(F.col("text")).alias("spell"))
 
 
@@ -143,6 +152,15 @@ def lookalike_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return keys.join(cls, "cls").select("doc_id", "class_id", "n_spellings", "n_documents")
 
 
+def class_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id_1, doc_id_2): each spelling's representative (smallest doc_id) with that of its class, so k
+    spellings of one look give k - 1 pairs; lookalike_classes has the membership."""
+    spell = spellings(keyed(df, doc_id, text)).select("cls", "rep")
+    first = spell.groupBy("cls").agg(F.min("rep").alias("first"))
+    pairs = spell.join(first, "cls").where("rep <> first")
+    return pairs.select(F.least("first", "rep").alias("doc_id_1"), F.greatest("first", "rep").alias("doc_id_2"))
+
+
 def lookalike_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id_1 < doc_id_2): documents that look the same but are not the same string.
 
@@ -150,7 +168,9 @@ def lookalike_pairs(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     spelling of its class.  A link between two different strings is never lost, and any
     pair of which one text is unique comes out as such; only pairs between two groups of
     exact copies are reduced to pairs with a representative, so a group that holds a third
-    of all rows costs a multiple of its size, not its square.
+    of all rows costs a multiple of its size, not its square.  Different spellings of one look are
+    all paired, since each such pair is a case; where only the groups matter, class_pairs has one
+    pair a spelling.
     Nulls and texts without visible characters make no pair; a repeated doc_id with one
     text counts once.
     """

@@ -54,13 +54,18 @@ def p8_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.lookalike_classes(_table(spark, sf_dir, "documents"))
 
 
+def p8_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling's representative with that of its class; p8_classes has the membership."""
+    return lookalike.class_pairs(_table(spark, sf_dir, "documents"))
+
+
 def p8_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in its consistent form."""
     return lookalike.with_skeleton(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "skeleton")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_types, p6_ids, p6_counts, p7_found, p7_items, p8_found, p8_classes, p8_form)}
+    return {f.__name__: f for f in (p3_found, p3_types, p6_ids, p6_counts, p7_found, p7_items, p8_found, p8_classes, p8_representatives, p8_form)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -54,7 +54,9 @@ def test_different_look(a, b):
         ("\u03f9\u03f2\u03f3\u037f", "CcjJ"),
         ("\u0585\u057d\u0555\u054d", "ouOU"),
         ("\u13aa\u13df\u13ac\u13bb\u13b7\u13a2", "ACEHMT"),
-        ("\u0261\u0251", "ga"),
+        ("\u0261\u0251\u0131", "gai"),
+        ("\ua4ee\ua4d0\ua4f3", "ABO"),
+        ("\u2c9e\u2c9f\u2ca4", "OoC"),
     ],
 )
 def test_rarer_letters_of_the_same_shape(letters, plain):
@@ -102,6 +104,24 @@ def test_hot_copies(spark):
     assert got == {(k, 1200) for k in range(400)}
 
 
+def test_many_spellings_of_one_look(spark):
+    """k spellings give k - 1 pairs of representatives, and one class."""
+    zero = ["\u200b", "\u200c", "\u2060", "\ufeff"]
+    texts = [f"on{zero[k % 4]}e{zero[k // 4 % 4]} lo{zero[k // 16 % 4]}ok{zero[k // 64 % 4]}{zero[k // 256]}" for k in range(400)]
+    df = docs(spark, *texts, "another look")
+    assert rows(lookalike.class_pairs(df)) == {(0, k) for k in range(1, 400)}
+    assert {(r.doc_id, r.class_id, r.n_spellings) for r in lookalike.lookalike_classes(df).collect()} == {*((k, 0, 400) for k in range(400)), (400, 400, 1)}
+
+
+PLAIN = ["a  \nb", "a \t \r\nb\r", "\r\r\n a\n\n", " ", "", "x" * 9, "a\tb \n", "\n \n", None, "a \x0b b", "é  \r\n", " " * 50_000 + "x" + " " * 50_000 + "\ny"]
+
+
+def test_plain_texts_have_the_same_form(spark):
+    """The expression for plain texts and the function agree."""
+    got = {r.doc_id: r.s for r in docs(spark, *PLAIN).select("doc_id", lookalike.skeleton_of(F.col("text")).alias("s")).collect()}
+    assert got == {k: lookalike.skeleton(t) for k, t in enumerate(PLAIN)}
+
+
 # --- problem 6 -------------------------------------------------------------------------------
 
 
