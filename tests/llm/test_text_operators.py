@@ -306,6 +306,7 @@ PROSE = [
     "Concrete pour at the north pier was completed on Friday.", "The crane is still waiting for a permit", "3. Poor weather at the quay and around the gate (12 Aug 2026)",
     "[Yard (AB)] So far 91.5 of 1,250 panels\nare in place at row 3.", "Les travaux de peinture sont terminés et la réception est prévue lundi.", "Khối lượng 29 m³, móng trụ số năm vẫn chưa nghiệm thu.",
     "Площадка складирования ожидает поставки после замены чертежей.", "ทีมสำรวจจะวัดระดับอีกครั้ง เพราะรถเครนชำรุด", "NO CHANGE AT THE JETTY THIS WEEK", "The naïve forecast was kept; 12.5 % of 40 m² is done.",
+    "Der Kran wartet noch auf die Genehmigung der Behörde", "La grúa sigue a la espera del permiso municipal", "Pekerjaan pengecoran masih menunggu izin dari pemilik", "クレーンはまだ許可を待っています。", "Kreni bado inasubiri kibali kutoka kwa mamlaka ya mji", "Nosturi odottaa edelleen lupaa kaupungilta, työ jatkuu maanantaina.",
 ]
 NOT_PROSE = [
     "roof truss\n- oil pit\n• pipe rack\ncable tray", "Oil Pit ............ 61\nRoof Truss .......... 20", "Qty Remark Total Unit\nPipe Rack 80.96 8.99 78.94\nOil Pit 1.00 25.16 27.98",
@@ -315,8 +316,10 @@ NOT_PROSE = [
 
 
 def test_text_types(spark):
+    """The cases among the texts of a table: what is learned comes from all of them."""
     texts = PROSE * 3 + NOT_PROSE
-    df = docs(spark, *texts, None, "", " \n\t ")
+    table = quality.long_texts(spark.read.parquet("/root/testdata/sf0.01/w32_2026.parquet")).select((-F.col("snap_id") - 1).alias("doc_id"), "text")
+    df = docs(spark, *texts, None, "", " \n\t ").unionByName(table)
     got = {r.doc_id: r for r in quality.classify(df).collect()}
     for k, t in enumerate(texts):
         assert (got[k].text_type == "prose") is (t in PROSE), (t, got[k].text_type)
@@ -334,22 +337,59 @@ def test_statistics(spark):
     assert quality.with_statistics(docs(spark, long)).first().n_words == 200_000
 
 
-def test_learning_finds_a_poor_function(spark):
-    """A function that fires at random is trusted less than those that agree."""
-    types = {name: t for name, (t, _) in quality.labelling_functions().items()}
-    lfs = list(types)
+def _planted(spoil=None):
+    """(patterns, truth by pattern): drawn texts of four types; a spoilt function fires at random."""
+    names = list(quality.labelling_functions())
+    own = [t for t, _ in quality.labelling_functions().values()]
     rng = np.random.default_rng(0)
-    patterns = {}
-    for _ in range(4000):
-        prose = rng.random() < 0.6
-        fire = [k for k, t in enumerate(types.values()) if rng.random() < (0.9 if (t == "prose") == prose and t in ("prose", "list") else 0.02)]
-        fire = [k for k in fire if lfs[k] != "symbols"] + ([lfs.index("symbols")] if rng.random() < 0.5 else [])
+    texts = {}
+    for _ in range(6000):
+        kind = ("prose", "list", "table", "garbled")[rng.choice(4, p=(0.6, 0.15, 0.15, 0.1))]
+        fire = [k for k, t in enumerate(own) if rng.random() < (0.75 if t == kind else 0.03)]
+        if spoil:
+            fire = [k for k in fire if names[k] != spoil] + ([names.index(spoil)] if rng.random() < 0.5 else [])
         p = sum(1 << k for k in set(fire))
-        patterns[p] = patterns.get(p, 0) + 1
-    _, rate, _ = quality.learn(sorted(patterns.items()))
+        n = texts.setdefault(p, [0, 0])
+        n[kind == "prose"] += 1
+    return names, {p: sum(n) for p, n in texts.items()}, texts
+
+
+def _errors(texts, prose):
+    return sum(n[0] if prose(p) else n[1] for p, n in texts.items())
+
+
+def test_learning_finds_a_poor_function():
+    """A function that fires at random is trusted less than those that agree, and the posteriors are right
+    where votes by number, or the start, are not."""
+    names, patterns, texts = _planted(spoil="symbols")
+    pats = sorted(patterns.items())
     at = quality.TYPES.index
-    assert rate[lfs.index("ordinary_words"), at("prose")] > 0.8 > 0.2 > rate[lfs.index("ordinary_words"), at("list")]
-    assert abs(rate[lfs.index("symbols"), at("prose")] - rate[lfs.index("symbols"), at("list")]) < 0.1
+    prior, rate, post = quality.learn(pats)
+    assert rate[names.index("common_words"), at("prose")] > 0.7 > 0.2 > rate[names.index("common_words"), at("list")]
+    assert abs(rate[names.index("symbols"), at("prose")] - rate[names.index("symbols"), at("list")]) < 0.1
+    assert prior[at("prose")] == pytest.approx(0.6, abs=0.05)
+    learned = {p: q[0] == q.max() for (p, _), q in zip(pats, post, strict=True)}
+    started = {p: q[0] == q.max() for (p, _), q in zip(pats, quality.learn(pats, 1)[2], strict=True)}
+    prose_bits = sum(1 << k for k, (t, _) in enumerate(quality.labelling_functions().values()) if t == "prose")
+    any_prose = lambda p: p & prose_bits > 0
+    majority = lambda p: (p & prose_bits).bit_count() > (p & ~prose_bits).bit_count()
+    wrong = _errors(texts, learned.get)
+    assert wrong < 0.02 * 6000 and wrong < 0.8 * _errors(texts, started.get) and wrong < 0.5 * _errors(texts, any_prose) and wrong < _errors(texts, majority)
+
+
+def test_learning_decides_the_rows(spark):
+    """On the tables the learned posteriors, the start and simple votes give different rows."""
+    w = spark.read.parquet("/root/testdata/sf0.01/w32_2026.parquet")
+    voted = quality.with_votes(quality.long_texts(w)).where("votes is not null").groupBy("votes").count().collect()
+    pats = sorted((r["votes"], r["count"]) for r in voted)
+    n = np.array([c for _, c in pats])
+    bits = [(1 << k, t == "prose") for k, (t, _) in enumerate(quality.labelling_functions().values())]
+    prose = lambda post: post.argmax(1) == 0
+    learned, started = prose(quality.learn(pats)[2]), prose(quality.learn(pats, 1)[2])
+    any_prose = np.array([any(p & b for b, own in bits if own) for p, _ in pats])
+    majority = np.array([sum(1 if own else -1 for b, own in bits if p & b) > 0 for p, _ in pats])
+    for other in (started, any_prose, majority):
+        assert n[learned != other].sum() > 5
 
 
 # --- all -------------------------------------------------------------------------------------
