@@ -115,6 +115,7 @@ def statistics(t: Column) -> dict[str, Column]:
         "n_particles": F.when(script, _matches(t, "|".join(PARTICLES.split()))).otherwise(0.0),
         "lower_runs": _matches(F.col("_cased"), _LOWER_RUN),
         "openings": _matches(F.col("_cased"), _OPENING),
+        "breaks": _matches(t, rf"\p{{Ll}}[.!?]\s+(?:\[[^\]\n]{{1,40}}\]\s)?\p{{Lu}}|[{_UNSPACED}]{{4}}[ 。][{_UNSPACED}]{{4}}"),
         "clauses": _matches(t, r"[\p{L}\p{N}³²],\s\p{Ll}"),
     }
 
@@ -138,8 +139,9 @@ def labelling_functions() -> dict[str, tuple[str, Column]]:
     return {
         "common_words": ("prose", (c("common_share") >= 0.1) | (c("n_particles") >= 1)),
         "lower_run": ("prose", (c("lower_runs") >= 1) | (c("unspaced_share") >= 0.3)),
-        "opening": ("prose", c("openings") >= 1),
+        "opening": ("prose", (c("openings") >= 1) | (c("unspaced_share") >= 0.3)),
         "clause": ("prose", c("clauses") >= 1),
+        "next_sentence": ("prose", c("breaks") >= 1),
         "end_mark": ("prose", c("end_share") > 0),
         "long_lines": ("prose", c("words_per_line") >= 5),
         "short_lines": ("list", (c("n_lines") >= 2) & (c("words_per_line") <= 4)),

@@ -345,7 +345,7 @@ def _planted(spoil=None):
     texts = {}
     for _ in range(6000):
         kind = ("prose", "list", "table", "garbled")[rng.choice(4, p=(0.6, 0.15, 0.15, 0.1))]
-        fire = [k for k, t in enumerate(own) if rng.random() < (0.75 if t == kind else 0.03)]
+        fire = [k for k, t in enumerate(own) if rng.random() < (0.5 if t == kind else 0.08)]
         if spoil:
             fire = [k for k in fire if names[k] != spoil] + ([names.index(spoil)] if rng.random() < 0.5 else [])
         p = sum(1 << k for k in set(fire))
@@ -365,7 +365,7 @@ def test_learning_finds_a_poor_function():
     pats = sorted(patterns.items())
     at = quality.TYPES.index
     prior, rate, post = quality.learn(pats)
-    assert rate[names.index("common_words"), at("prose")] > 0.7 > 0.2 > rate[names.index("common_words"), at("list")]
+    assert rate[names.index("common_words"), at("prose")] > 0.4 > 0.2 > rate[names.index("common_words"), at("list")]
     assert abs(rate[names.index("symbols"), at("prose")] - rate[names.index("symbols"), at("list")]) < 0.1
     assert prior[at("prose")] == pytest.approx(0.6, abs=0.05)
     learned = {p: q[0] == q.max() for (p, _), q in zip(pats, post, strict=True)}
@@ -374,7 +374,7 @@ def test_learning_finds_a_poor_function():
     any_prose = lambda p: p & prose_bits > 0
     majority = lambda p: (p & prose_bits).bit_count() > (p & ~prose_bits).bit_count()
     wrong = _errors(texts, learned.get)
-    assert wrong < 0.02 * 6000 and wrong < 0.8 * _errors(texts, started.get) and wrong < 0.5 * _errors(texts, any_prose) and wrong < _errors(texts, majority)
+    assert wrong < 0.1 * 6000 and wrong < 0.9 * _errors(texts, started.get) and wrong < 0.5 * _errors(texts, any_prose) and wrong < 0.8 * _errors(texts, majority)
 
 
 def test_learning_decides_the_rows(spark):
