@@ -2,24 +2,29 @@
 
 Declared checks are compiled into one aggregate over one scan.  Per load and column the state
 is a small histogram; states of further loads merge by adding up.  Metrics of a load (null
-share, impossible share, distance of its distribution) are tested against control limits from
-the feed's loads.
+share, share that fails its check, level, spread, mix of values) are tested against control
+limits: the value usual in the feed's other loads, and a number of standard deviations whose
+size is learned from how loads have differed so far.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportloom.session import kept
+
 COUNTS = ("n_disc", "n_scopes", "n_concerns", "n_activities")
 LOWEST, HIGHEST = 0, 20  # possible counts
 NULL, IMPOSSIBLE = -1, -2  # codes in a histogram
 MIN_ROWS = 150  # smaller loads are not judged
-#: Least departures that count, whatever the limits say.
-LEAST = {"nulls": 0.07, "impossible": 0.035, "mix": 0.32, "level": 0.33}
-SIGMAS = 3.0  # control limit: median of the feed's loads plus so many robust sigmas
+SIGMAS = 5.5  # a metric departs beyond so many standard deviations: four in a hundred million normal ones would
+METRICS = ("nulls", "impossible", "level", "spread", "mix")
+LEAST_SPREAD = 0.1  # standard deviations of counts below this read as this
 
 
 @dataclass(frozen=True)
@@ -135,12 +140,18 @@ def profile(states: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def count_states(history: DataFrame) -> DataFrame:
-    """(feed, load_id, column_name, value, n): the histograms of the count columns by load; value
-    is the count, NULL or IMPOSSIBLE.  At most 23 rows per load and column leave a task."""
-    code = lambda c: F.when(F.col(c).isNull(), NULL).when(F.col(c).between(LOWEST, HIGHEST), F.col(c)).otherwise(IMPOSSIBLE)
-    cell = lambda c: F.struct(F.lit(c).alias("column_name"), code(c).cast("int").alias("value"))
-    long = history.where("load_id is not null").select("feed", "load_id", F.explode(F.array(*map(cell, COUNTS))).alias("c"))
+def count_checks() -> tuple[Check, ...]:
+    """What every count of history must meet; shared by the profile and the judgement of loads."""
+    return tuple(between(c, LOWEST, HIGHEST) for c in COUNTS)
+
+
+def count_states(history: DataFrame, checks: tuple[Check, ...] | None = None) -> DataFrame:
+    """(feed, load_id, column_name, value, n): the histograms of the checked columns by load; value is
+    the count, NULL, or IMPOSSIBLE where the column's check fails.  At most 23 rows per load and
+    column leave a task."""
+    code = lambda q: F.when(F.col(q.column).isNull(), NULL).when(F.coalesce(q.holds, F.lit(False)), F.col(q.column)).otherwise(IMPOSSIBLE)
+    cell = lambda q: F.struct(F.lit(q.column).alias("column_name"), code(q).cast("int").alias("value"))
+    long = history.where("load_id is not null").select("feed", "load_id", F.explode(F.array(*map(cell, checks or count_checks()))).alias("c"))
     return long.groupBy("feed", "load_id", "c.column_name", "c.value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -152,59 +163,131 @@ def merge_states(*states: DataFrame) -> DataFrame:
     return out.groupBy("feed", "load_id", "column_name", "value").agg(F.sum("n").alias("n"))
 
 
-def load_metrics(states: DataFrame) -> DataFrame:
-    """One row per feed, load and column: (feed, load_id, column_name, rows, judged, nulls,
-    impossible, mix, level, each with <metric>_usual and <metric>_limit, departs).
+def _per_load(states: DataFrame) -> DataFrame:
+    """(feed, load_id, column_name, rows, nulls, impossible, level, spread, hist): one row per load and
+    column.  level is the mean count, spread the logarithm of its standard deviation."""
+    n = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
+    v = F.col("value")
+    per = states.groupBy("feed", "load_id", "column_name").agg(
+        F.sum("n").alias("rows"), n(v == NULL).alias("_null"), n(v == IMPOSSIBLE).alias("_bad"), n(v >= LOWEST).alias("_ok"), F.sum(F.when(v >= LOWEST, v * F.col("n"))).alias("_s"), F.sum(F.when(v >= LOWEST, v * v * F.col("n"))).alias("_q"),
+        F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("_h"),  # at most 23 entries
+    )
+    mean = F.when(F.col("_ok") > 0, F.col("_s") / F.col("_ok"))
+    sd = F.sqrt(F.greatest(F.col("_q") / F.col("_ok") - mean * mean, F.lit(0.0)))
+    hist = F.transform(F.sequence(F.lit(LOWEST), F.lit(HIGHEST)), lambda k: F.coalesce(F.try_element_at("_h", k), F.lit(0)).cast("double"))
+    return per.select(
+        "feed", "load_id", "column_name", "rows", (F.col("_null") / F.col("rows")).alias("nulls"), (F.col("_bad") / F.col("rows")).alias("impossible"),
+        mean.alias("level"), F.when(F.col("_ok") > 0, F.log(F.greatest(sd, F.lit(LEAST_SPREAD)))).alias("spread"), hist.alias("hist"),
+    )
+
+
+def _middle(x: np.ndarray) -> float:
+    x = x[~np.isnan(x)]
+    return float(np.median(x)) if len(x) else np.nan
 
-    mix is the total variation distance to the feed's usual distribution less what sampling
-    alone would give; level the greatest difference of the cumulative shares.  A metric
-    departs if it is beyond its limit, the greater of LEAST and SIGMAS robust sigmas from the
-    median of the feed's judged loads.  Loads under MIN_ROWS rows are not judged and do not
-    set limits; the only load of a feed cannot depart.  Loads are matched by feed, null feeds
-    among themselves.
+
+def _against_others(feed: pa.Table, earlier: bool) -> pa.Table:
+    """Of every judged load and column of one feed and each metric: by how much it is off the usual of the
+    feed's other loads, and the variance that sampling its rows alone would give.
+
+    Others are the judged loads of the feed not marked as out of control (all judged ones if fewer
+    than two are left), the load itself excepted; ``earlier`` leaves only those before it.
     """
-    size = F.col("rows")
-    per = states.groupBy("feed", "load_id", "column_name").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value") == NULL, F.col("n")).otherwise(0)).alias("_null"),
-        F.sum(F.when(F.col("value") == IMPOSSIBLE, F.col("n")).otherwise(0)).alias("_bad"),
-        F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("_hist"),  # at most 23 entries
-    )
-    ok = size - F.col("_null") - F.col("_bad")
-    share = F.transform(F.sequence(F.lit(LOWEST), F.lit(HIGHEST)), lambda v: F.coalesce(F.try_element_at("_hist", v), F.lit(0)) / F.greatest(ok, F.lit(1)))
-    per = per.select("feed", "load_id", "column_name", "rows", (size >= MIN_ROWS).alias("judged"), (F.col("_null") / size).alias("nulls"), (F.col("_bad") / size).alias("impossible"), ok.alias("_ok"), share.alias("_share"))
-    feed = Window.partitionBy("feed", "column_name")
-    on = F.col("judged") & (F.col("_ok") > 0)
-    median = lambda c, cond=F.col("judged"): F.percentile(F.when(cond, c), F.lit(0.5)).over(feed)
-    bins = range(HIGHEST - LOWEST + 1)
-    per = per.withColumns({f"_b{k}": median(F.get("_share", F.lit(k)), on) for k in bins})
-    usual = F.array(*(F.coalesce(F.col(f"_b{k}"), F.lit(0.0)) for k in bins))
-    per = per.withColumn("_sum", F.aggregate(usual, F.lit(0.0), lambda a, x: a + x))
-    per = per.withColumn("_usual", F.transform(usual, lambda x: F.when(F.col("_sum") > 0, x / F.col("_sum")).otherwise(0.0))).drop(*(f"_b{k}" for k in bins))
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
-    apart = total(F.zip_with("_share", "_usual", lambda a, b: F.abs(a - b))) / 2
-    chance = total(F.transform("_usual", lambda p: F.sqrt(p * (1 - p) * 2 / 3.141592653589793 / F.greatest(F.col("_ok"), F.lit(1))))) / 2
-    steps = F.aggregate(
-        F.zip_with("_share", "_usual", lambda a, b: a - b),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("m")),
-        lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.greatest(acc["m"], F.abs(acc["s"] + x)).alias("m")),
-        lambda acc: acc["m"],
-    )
-    some = (F.col("_ok") > 0) & (F.col("_sum") > 0)
-    per = per.withColumns({"mix": F.when(some, apart - chance), "level": F.when(some, steps)}).drop("_share", "_usual", "_sum")
-    names = list(LEAST)
-    per = per.withColumns({f"{m}_usual": median(F.col(m)) for m in names})
-    per = per.withColumns({f"_{m}": F.abs(F.col(m) - F.col(f"{m}_usual")) for m in names})
-    per = per.withColumns({f"{m}_limit": F.greatest(F.lit(LEAST[m]), 1.4826 * SIGMAS * F.coalesce(median(F.col(f"_{m}")), F.lit(0.0))) for m in names})
-    per = per.withColumn("_loads", F.count_if("judged").over(feed))
-    # shares depart to either side; distances are from the usual distribution and only upwards
-    beyond = [F.coalesce((F.col(f"_{m}") if m in ("nulls", "impossible") else F.col(m)) > F.col(f"{m}_limit"), F.lit(False)) for m in names]
-    departs = F.col("judged") & (F.col("_loads") > 1) & (beyond[0] | beyond[1] | beyond[2] | beyond[3])
-    return per.withColumn("departs", departs).select("feed", "load_id", "column_name", "rows", "judged", *(x for m in names for x in (m, f"{m}_usual", f"{m}_limit")), "departs")
+    get = lambda c: feed.column(c).to_numpy(zero_copy_only=False)
+    name, load, rows, out = get("column_name"), get("load_id"), get("rows").astype(float), get("out")
+    value = {m: get(m).astype(float) for m in METRICS[:4]}
+    hist = np.array(feed.column("hist").to_pylist(), float).reshape(-1, HIGHEST - LOWEST + 1)
+    ok = hist.sum(1)
+    share = hist / np.maximum(ok, 1)[:, None]
+    judged = rows >= MIN_ROWS
+    usual, off, sampled = (np.full((len(rows), len(METRICS)), np.nan) for _ in range(3))
+    for i in np.flatnonzero(judged):
+        others = judged & (name == name[i]) & (load != load[i])
+        if earlier:
+            others &= load < load[i]
+        if np.count_nonzero(others & ~out) >= 2:
+            others &= ~out
+        if not others.any():
+            continue
+        u = hist[others].sum(0)
+        u = u / max(u.sum(), 1)
+        size = max(ok[i], 1)
+        deviation = max(_middle(np.exp(value["spread"][others])), LEAST_SPREAD)
+        for k, m in enumerate(METRICS[:4]):
+            usual[i, k] = _middle(value[m][others])
+        p = np.maximum(usual[i, :2], 1 / rows[i])
+        off[i] = *(value[m][i] - usual[i, k] for k, m in enumerate(METRICS[:4])), np.abs(share[i] - u).sum() / 2 if ok[i] else np.nan
+        off[i, 2] /= deviation
+        sampled[i] = *(p * (1 - p) / rows[i]), 1 / size, 0.5 / size, (np.sqrt(u * (1 - u) * 2 / np.pi / size).sum() / 2) ** 2
+    keys = {c: feed.column(c) for c in ("feed", "load_id", "column_name", "rows", "out", *METRICS[:4])}
+    lists = {c: pa.array(x.tolist(), pa.list_(pa.float64())) for c, x in (("hist", hist), ("usual", usual), ("off", off), ("sampled", sampled))}
+    return pa.table({**keys, "judged": pa.array(judged), **lists})
+
+
+def _components(measured: DataFrame) -> DataFrame:
+    """(column_name, metric_no, between, inflation): how loads differ, of each column and metric.  The
+    variance of a load's metric is ``between`` (loads differ) plus ``inflation`` times the sampling
+    variance (rows of a load are alike); both are solved from the median squared deviations of the
+    smaller and of the larger loads that are not out of control."""
+    long = measured.where("judged and not out").select("column_name", F.posexplode(F.arrays_zip("off", "sampled")).alias("metric_no", "x"))
+    long = long.select("column_name", "metric_no", F.pow("x.off", 2).alias("d"), F.col("x.sampled").alias("s")).where("d is not null and not isnan(d) and not isnan(s)")
+    keys = ["column_name", "metric_no"]
+    split = long.groupBy(*keys).agg(F.percentile("s", F.lit(0.5)).alias("_cut"))
+    half = lambda c, cond: F.percentile(F.when(cond, F.col(c)), F.lit(0.5))
+    small, large = F.col("s") > F.col("_cut"), F.col("s") <= F.col("_cut")
+    m = long.join(split, keys).groupBy(*keys).agg(half("d", small).alias("ds"), half("s", small).alias("ss"), half("d", large).alias("dl"), half("s", large).alias("sl"))
+    per = 1 / 0.4549  # the median of a squared standard normal deviate
+    slope = F.when(F.col("ss") > F.col("sl") * 1.0001, per * (F.col("ds") - F.col("dl")) / (F.col("ss") - F.col("sl")))
+    m = m.withColumn("inflation", F.greatest(F.coalesce(slope, F.lit(1.0)), F.lit(1.0)))
+    return m.select(*keys, F.greatest(per * F.col("dl") - F.col("inflation") * F.col("sl"), F.lit(0.0)).alias("between"), "inflation")
+
+
+def _scored(measured: DataFrame) -> DataFrame:
+    """``measured`` with ``sigmas``: each metric's deviation in learned standard deviations (null where not
+    judged or nothing to compare with)."""
+    c = _components(measured).groupBy("column_name").agg(F.map_from_entries(F.collect_list(F.struct("metric_no", F.struct("between", "inflation")))).alias("_c"))
+    j = measured.join(c, "column_name", "left")
+
+    def one(x: Column, k: Column) -> Column:
+        part = F.try_element_at("_c", k)
+        v = F.abs(x["off"]) / F.sqrt(part["between"] + part["inflation"] * x["sampled"])
+        return F.when(~F.isnan(v), v)  # NaN where there is nothing to compare with
+
+    return j.withColumn("sigmas", F.transform(F.arrays_zip("off", "sampled"), one)).drop("_c")
+
+
+_PER_LOAD = "feed {feed}, load_id {load}, column_name string, rows bigint, out boolean, nulls double, impossible double, level double, spread double, hist array<double>"
+
+
+def load_metrics(states: DataFrame, sigmas: float = SIGMAS, earlier: bool = False) -> DataFrame:
+    """One row per feed, load and column: (feed, load_id, column_name, rows, judged, nulls, impossible,
+    level, spread, and <metric>_sigmas of these and of mix, departs).
+
+    mix is the total variation distance to the merged histogram of the feed's other loads.  A column
+    departs if a metric is off by more than ``sigmas`` learned standard deviations.  Limits are made
+    twice: loads out of control in the first pass set none in the second.  ``earlier`` compares with
+    the loads before only, as when loads are judged on arrival.  Loads under MIN_ROWS rows are not
+    judged and set no limits; the only load of a feed cannot depart.  Loads are matched by feed,
+    null feeds among themselves.
+    """
+    kinds = dict(states.dtypes)
+    given = _PER_LOAD.format(feed=kinds["feed"], load=kinds["load_id"])
+    schema = given + ", judged boolean, " + ", ".join(f"{c} array<double>" for c in ("usual", "off", "sampled"))
+
+    def measure(group: pa.Table) -> pa.Table:
+        return _against_others(group, earlier)
+
+    beyond = F.exists("sigmas", lambda x: F.coalesce(x > sigmas, F.lit(False)))
+    loads = _per_load(states).withColumn("out", F.lit(False))
+    for _ in range(2):  # rows are loads, not records: a feed's are few
+        measured = kept(loads.select("feed", "load_id", "column_name", "rows", "out", *METRICS[:4], "hist").groupBy("feed").applyInArrow(measure, schema))
+        loads = _scored(measured).withColumn("out", beyond)
+    at = lambda k, m: F.get("sigmas", F.lit(k)).alias(f"{m}_sigmas")
+    return loads.select("feed", "load_id", "column_name", "rows", "judged", *METRICS[:4], *(at(k, m) for k, m in enumerate(METRICS)), F.col("out").alias("departs"))
 
 
 def departing_columns(history: DataFrame) -> DataFrame:
-    """(load_id, column_name): the count columns of loads that depart from the feed's loads.
+    """(load_id, column_name): the count columns of loads that depart from the feed's other loads.
 
     All rows of a load count; should one load hold rows of several feeds, they are judged
     feed by feed and the load appears once."""

@@ -43,6 +43,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.departing_columns(*_tables(spark, sf_dir, "history"))
 
 
+def p5_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every load and count column with its metrics, their distances in standard deviations, and the verdict."""
+    return profile.load_metrics(profile.count_states(*_tables(spark, sf_dir, "history")))
+
+
 def p5_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.count_states(*_tables(spark, sf_dir, "history"))
 
@@ -56,14 +61,14 @@ def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         profile.between("week", 1, 52),
         profile.between("plan", 0, 100),
         profile.between("actual", 0, 100),
-        *(profile.between(c, 0, 20) for c in profile.COUNTS),
+        *profile.count_checks(),
     )
     states = profile.column_states(history, columns=history.columns, by=("feed",), checks=checks)
     return profile.profile(states)
 
 
 def queries() -> dict:
-    fs = (p1_found, p1_filled, p2_found, p2_grid, p4_found, p4_readings, p5_found, p5_states, p5_profile)
+    fs = (p1_found, p1_filled, p2_found, p2_grid, p4_found, p4_readings, p5_found, p5_loads, p5_states, p5_profile)
     return {f.__name__: f for f in fs}
 
 
