@@ -87,3 +87,51 @@ def p4(history, projects, expectations):
                     if round(max(up, down) - bound, 7) >= 0 and not math.isnan(up):
                         out |= {(i, f) for i, _ in own[a : a + n]}
     return out
+
+
+def p5(history):
+    """(load_id, column) -> sigmas of nulls, impossible, level, spread and mix, of the loads that are judged."""
+    loads = {}
+    for r in _rows(history):
+        for c in ("n_disc", "n_scopes", "n_concerns", "n_activities"):
+            v = r[c]
+            loads.setdefault((r["feed"], c), {}).setdefault(r["load_id"], []).append(None if v is None or v != v else int(v))
+    facts = {}
+    for (feed, c), own in loads.items():
+        for load, vs in own.items():
+            good = [v for v in vs if v is not None and 0 <= v <= 20]
+            if len(vs) < 150:
+                continue
+            mean = sum(good) / len(good)
+            sd = max(0.1, math.sqrt(max(0.0, sum(v * v for v in good) / len(good) - mean * mean)))
+            bad = len([v for v in vs if v is not None and not 0 <= v <= 20])
+            facts[load, c] = feed, len(vs), len(good), [vs.count(None) / len(vs), bad / len(vs), mean, math.log(sd)], [good.count(k) for k in range(21)]
+    out = set()
+    for _ in range(2):
+        off = {}
+        for (load, c), (feed, n, ok, m, hist) in facts.items():
+            others = [k for k in facts if k[1] == c and k[0] != load and facts[k][0] == feed]
+            calm = [k for k in others if k not in out]
+            others = calm if len(calm) >= 2 else others
+            usual = [median(facts[k][3][q] for k in others) for q in range(4)]
+            sd = max(0.1, median(math.exp(facts[k][3][3]) for k in others))
+            u = [sum(facts[k][4][v] for k in others) for v in range(21)]
+            u = [x / sum(u) for x in u]
+            p = [max(usual[q], 1 / n) for q in (0, 1)]
+            d = [m[0] - usual[0], m[1] - usual[1], (m[2] - usual[2]) / sd, m[3] - usual[3], sum(abs(x / ok - y) for x, y in zip(hist, u, strict=True)) / 2]
+            s = [p[0] * (1 - p[0]) / n, p[1] * (1 - p[1]) / n, 1 / ok, 0.5 / ok, (sum(math.sqrt(y * (1 - y) * 2 / math.pi / ok) for y in u) / 2) ** 2]
+            off[load, c] = d, s
+        z = {k: [0.0] * 5 for k in off}
+        for c in {k[1] for k in off}:
+            for q in range(5):
+                pairs = [(off[k][0][q] ** 2, off[k][1][q]) for k in off if k[1] == c and k not in out]
+                cut = median(s for _, s in pairs)
+                small, large = [x for x in pairs if x[1] > cut], [x for x in pairs if x[1] <= cut]
+                (ds, ss), (dl, sl) = ((median(x[0] for x in h), median(x[1] for x in h)) if h else (0.0, 0.0) for h in (small, large))
+                inflation = max(1.0, (ds - dl) / (ss - sl) / 0.4549) if small and ss > sl * 1.0001 else 1.0
+                between = max(0.0, dl / 0.4549 - inflation * sl)
+                for k in off:
+                    if k[1] == c:
+                        z[k][q] = abs(off[k][0][q]) / math.sqrt(between + inflation * off[k][1][q])
+        out = {k for k, v in z.items() if max(v) > 5.5}
+    return z

@@ -115,8 +115,6 @@ def test_posteriors_equal_enumeration():
 @pytest.mark.parametrize("which", ["tables", "mixed"])
 def test_missing_periods(spark, sf, dims, mixed, which):
     h, p, e, c = tables(spark, sf) if which == "tables" else (mixed, *dims)
-    if which == "mixed":  # a step of three weeks does not divide four and reads as weekly
-        c = c.where("cadence <> 'odd'")
     assert rows(regular.missing_periods(h, p, e, c)) == brute.p2(*frames((h, p, e, c)))
 
 
@@ -166,10 +164,24 @@ def test_implausible_readings(spark, sf, dims, mixed, which):
 
 def test_tail_leaves_few_regular_readings(spark, sf):
     """The cutoff lets through about the risk of readings that are no spikes."""
-    j = spikes.judged_readings(*tables(spark, sf)[:3]).where("cutoff is not null and not spike")
+    j = spikes.judged_readings(*tables(spark, sf)[:3], risk=0.02).where("cutoff is not null and not spike")
     n, extreme = j.agg(F.count("*"), F.count_if("extreme")).first()
-    assert 0 < extreme / n < 0.15
-    assert j.where("cutoff > greatest(3, 8 * usual_step) / 2 + 1e-9").count() == 0
+    assert 0 < extreme / n < 0.1
+
+
+def test_risk_decides_the_candidates(spark):
+    """A greater risk lets more readings through to the check, which finds the same spikes among them."""
+    ts = tables(spark, "/root/testdata/sf0.01")[:3]
+    seen = {}
+    for risk in (0.0001, 0.02, 0.2):
+        j = spikes.judged_readings(*ts, risk=risk).cache()
+        assert j.where("spike and not candidate").count() == 0
+        seen[risk] = [j.where(c).count() for c in ("candidate", "spike", "spike and extreme")]
+        assert rows(j.where("outside or stuck or spike").select("rec_id", "field")) == rows(spikes.implausible(*ts))
+        j.unpersist()
+    least, middle, most = seen.values()
+    assert least[0] < middle[0] < most[0] and least[1] == middle[1] == most[1] > 0.95 * least[1]
+    assert all(extreme > 0.98 * spike and candidates > 2 * spike for candidates, spike, extreme in seen.values())
 
 
 def test_spikes_of_every_year_are_found(spark, dims):
@@ -185,12 +197,6 @@ def test_spikes_of_every_year_are_found(spark, dims):
     assert rows(spikes.implausible(h, *dims[:2])) == want
 
 
-def test_risk_cutoff_is_not_clamped(spark, sf):
-    j = spikes.judged_readings(*tables(spark, sf)[:3])
-    assert j.where("cutoff > risk_cutoff or (cutoff < risk_cutoff and abs(cutoff - greatest(3, 8 * usual_step) / 2) > 1e-9) or (cutoff is null) <> (risk_cutoff is null)").count() == 0
-    assert j.where("cutoff < risk_cutoff").count() > 0
-
-
 def _loads(spark, odd=None, n=200, loads=10):
     rng = np.random.default_rng(3)
     out = []
@@ -219,6 +225,41 @@ def test_departing_loads(spark, odd, found):
     assert rows(profile.departing_columns(_loads(spark, odd))) == ({(4, "n_disc")} if found else set())
 
 
+def test_limits_come_from_the_history(spark):
+    """The same null share departs in a feed whose loads are alike and not where loads differ as much."""
+    rng = np.random.default_rng(8)
+
+    def feed(shares):
+        out = []
+        for load, share in enumerate(shares):
+            for k in range(400):
+                n = [int(x) for x in rng.poisson(4, 4).clip(0, 20)]
+                out.append((load * 1000 + k, f"P{k % 20}", 2024, 1, 1.0, 1.0, None if k < share * 400 else n[0], *n[1:], dt.datetime(2024, 1, 1), 1, load))
+        return spark.createDataFrame(out, HISTORY)
+
+    calm, wild = [0.02] * 9 + [0.12], [0.0, 0.1, 0.03, 0.14, 0.06, 0.01, 0.13, 0.05, 0.09, 0.12]
+    assert rows(profile.departing_columns(feed(calm))) == {(9, "n_disc")}
+    assert rows(profile.departing_columns(feed(wild))) == set()
+    h = feed(calm)
+    at = lambda n: profile.load_metrics(profile.count_states(h), sigmas=n).where("departs").count()
+    assert at(50.0) == 0 < at(5.5) == 1 < at(0.5)
+    # on arrival only the loads before count: the first has none to compare with
+    arrived = profile.load_metrics(profile.count_states(h), earlier=True)
+    assert rows(arrived.where("departs").select("load_id", "column_name")) == {(9, "n_disc")}
+    assert arrived.where("load_id = 0 and nulls_sigmas is not null").count() == 0
+
+
+def test_load_metrics_equal_brute_force(spark):
+    """Distances in standard deviations, restated plainly."""
+    h = spark.read.parquet("/root/testdata/sf0.01/history.parquet")
+    got = {(r.load_id, r.column_name): r for r in profile.load_metrics(profile.count_states(h)).where("judged").collect()}
+    want = brute.p5(h.toPandas())
+    assert set(got) == set(want)
+    for k, z in want.items():
+        assert [got[k][f"{m}_sigmas"] for m in profile.METRICS] == pytest.approx(z, rel=1e-6, abs=1e-6), k
+    assert {k for k, r in got.items() if r.departs} == {k for k, z in want.items() if max(z) > profile.SIGMAS}
+
+
 def test_small_loads_and_single_loads_are_not_judged(spark):
     assert profile.departing_columns(_loads(spark, lambda k, v: None, n=149)).count() == 0
     assert profile.departing_columns(_loads(spark, n=200, loads=1)).count() == 0
