@@ -21,8 +21,9 @@ from reportloom.operators.readings import counted_rows
 from reportloom.session import kept
 
 BINS = 50  # over 0..100; the same for the field itself and its neighbours in time
-PHASES = 40
 PHASE_WEEKS = 4
+EVEN_PHASES = 32  # blocks of PHASE_WEEKS since the first row; later ones are eighths of a doubling
+PHASES = EVEN_PHASES + 8 * 22  # enough for any label week an int can hold
 FINE = 10  # steps per percentage point, for bin medians
 SMOOTHING = 0.1
 FIELDS = ("plan", "actual")
@@ -43,16 +44,17 @@ class Tree:
 
 def features(rows: DataFrame) -> DataFrame:
     """``rows`` (see counted_rows) with the nearest known values before and after, and the phase:
-    four-week blocks since the project's first row."""
-    earlier = Window.partitionBy("project_id").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("project_id").orderBy("t").rowsBetween(1, Window.unboundedFollowing)
-    first = Window.partitionBy("project_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    four-week blocks since the project's first row, longer ones after the first 32."""
+    by_time = Window.partitionBy("project_id").orderBy("t")
+    first = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    over = "ignore nulls over (partition by project_id order by t)"
     cols = {}
     for f in FIELDS:
-        v = F.col(f"{f}_known")
-        cols[f"{f}_before"] = F.last(v, ignorenulls=True).over(earlier)
-        cols[f"{f}_after"] = F.first(v, ignorenulls=True).over(later)
-    cols["phase"] = F.least(F.lit(PHASES - 1), F.floor((F.col("t") - F.min("t").over(first)) / PHASE_WEEKS)).cast("int")
+        cols[f"{f}_before"] = F.expr(f"lag({f}_known, 1) {over}")
+        cols[f"{f}_after"] = F.expr(f"lead({f}_known, 1) {over}")
+    block = F.floor((F.col("t") - F.min("t").over(first)) / PHASE_WEEKS)
+    later = EVEN_PHASES + F.floor(8 * F.log2(block / EVEN_PHASES))
+    cols["phase"] = F.when(block < EVEN_PHASES, block).otherwise(later).cast("int")
     return rows.withColumns(cols)
 
 

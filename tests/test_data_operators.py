@@ -88,6 +88,18 @@ def test_fills_are_close(spark, sf):
     assert len(got) > 50
     assert got["d"].median() < 3.0
     assert (got["d"] < 12).mean() > 0.85
+    # the median of the project's kind, and of all, as what a fill without the tree would be
+    k = rows_.where("plan_known between 0 and 100")
+    plain = known.join(rows_.select("rec_id", "kind"), "rec_id").join(k.groupBy("kind").agg(F.median("plan_known").alias("m")), "kind").select(F.abs(F.col("m") - F.col("truth")).alias("d")).toPandas()
+    assert got["d"].median() < 0.2 * plain["d"].median() and got["d"].mean() < 0.3 * plain["d"].mean()
+    assert impute.features(rows_).where("phase < 0 or phase >= 208").count() == 0
+
+
+def test_phases_of_very_old_projects(spark, dims):
+    """Blocks grow with age and never end in one that holds all the rest."""
+    h = history(spark, [(k, "A", 2024 + y, 1, 50.0, 50.0) for k, y in enumerate((0, 3, 10, 20, 100, 1000, 100_000))])
+    got = [r.phase for r in impute.features(readings.counted_rows(h, *dims[:2])).orderBy("t").collect()]
+    assert got[0] == 0 and all(a < b for a, b in zip(got, got[1:])) and got[-1] < impute.PHASES
 
 
 def test_posteriors_equal_enumeration():
