@@ -20,7 +20,8 @@ NO_LETTERS = r"^[^\p{L}\p{No}\p{Nl}_]+$"
 NUMBER_TOKEN = r"^[\d.,%()+\-]+$"
 # What stands in a cell with nothing to say.
 EMPTY_CELL = ("N/A", "NA", "N.A", "-", "NONE")
-TRUE_WORDS = ("true", "yes", "y", "1", "x", "found", "ok")
+# What a sheet says for true.
+TRUE_WORDS = ("true", "yes", "1", "found", "✓", "ok", "x")
 
 
 def strip(s: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportloom.functions.text import looks_like_table
+
 CAP = 20
 TOLERANCE = 0.5
 FROZEN = 3
@@ -23,8 +25,28 @@ def expected(rows: DataFrame, projects: DataFrame, expectations: DataFrame) -> D
     return j.withColumns({c: F.coalesce(c, d) for c, d in zero.items()})
 
 
+def content_not_prose(items: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(…keys, field, n_junk, n_items, sample, note): lists (…keys, field, items) that hold table text: how
+    many of how many, the first of it cut to 120 characters, and a note where the list is at its
+    cap, so that real items may be missing as well."""
+    each = items.select(*keys, "field", F.size("items").alias("n_items"), F.posexplode("items").alias("n", "item"))
+    junk = looks_like_table(F.col("item"))
+    found = each.groupBy(*keys, "field", "n_items").agg(F.count_if(junk).alias("n_junk"), F.substring(F.min_by(F.when(junk, F.col("item")), F.when(junk, F.col("n"))), 1, 120).alias("sample"))
+    note = F.when(F.col("n_items") >= CAP, F.concat(F.lit("the list is at its cap of "), F.lit(CAP).cast("string")))
+    return found.where("n_junk > 0").select(*keys, "field", "n_junk", "n_items", "sample", note.alias("note"))
+
+
+def with_junk(rows: DataFrame, not_prose: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``rows`` with junk_concerns and junk_activities, the table lines of their lists (0 where nothing is
+    known of them)."""
+    n = lambda f: F.sum(F.when(F.col("field") == f, F.col("n_junk"))).alias(f"junk_{f}")
+    j = rows.join(not_prose.groupBy(*keys).agg(*map(n, ("concerns", "activities"))), list(keys), "left")
+    return j.fillna(0, [f"junk_{f}" for f in ("concerns", "activities")])
+
+
 def panel_rules() -> list[tuple[int, str, str, str | None, Column]]:
-    """(order, severity, rule, subject, condition) over with_previous(…) joined to expectations."""
+    """(order, severity, rule, subject, condition) over with_previous(…) joined to expectations and
+    with_junk(…): a list that holds table text is reported as such and not as truncated."""
     c = F.col
     plan, actual = c("plan"), c("actual")
     out = []
@@ -35,7 +57,7 @@ def panel_rules() -> list[tuple[int, str, str, str | None, Column]]:
     out.append((3, "FAIL", "missing-disciplines", None, F.coalesce("n_disc", F.lit(0)) < c("min_disc")))
     out.append((4, "FAIL", "missing-scopes", None, F.coalesce("n_scopes", F.lit(0)) < c("min_scopes")))
     for f in ("concerns", "activities"):
-        out.append((7, "WARN", "content-truncated", f, c(f"n_{f}") >= CAP))
+        out.append((7, "WARN", "content-truncated", f, (c(f"n_{f}") >= CAP) & (c(f"junk_{f}") == 0)))
     out.append((8, "WARN", "content-empty", None, (F.coalesce("n_concerns", F.lit(0)) == 0) & (F.coalesce("n_activities", F.lit(0)) == 0)))
     out.append((9, "WARN", "variance-large", None, in_range(plan) & in_range(actual) & (F.round(F.abs(actual - plan), 6) > VARIANCE)))
     for f in ("plan", "actual"):
@@ -60,6 +82,13 @@ def findings(rows: DataFrame, keys: tuple[str, ...] = ("project_id", "year", "we
     return rows.select(*keys, F.explode(hit).alias("f")).select(*keys, "f.*")
 
 
+def detail_findings(scopes: DataFrame, not_prose: DataFrame, keys: tuple[str, ...] = ("project_id", "year", "week")) -> DataFrame:
+    """(…keys, rule_no, severity, rule, subject) of the two rules below the panel: scopes without a figure
+    (…keys, scope) and lists that are not prose (…keys, field)."""
+    found = lambda df, no, rule, subject: df.select(*keys, F.lit(no).alias("rule_no"), F.lit("WARN").alias("severity"), F.lit(rule).alias("rule"), F.col(subject).alias("subject"))
+    return found(scopes, 5, "scope-incomplete", "scope").unionByName(found(not_prose, 6, "content-not-prose", "field"))
+
+
 def scope_incomplete(scopes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """(…keys, scope, detail) of scopes without plan or actual; NaN counts as absent."""
     have = lambda c: F.when(~F.isnan(c), F.col(c))

@@ -20,8 +20,33 @@ def _panel(s: SparkSession, d: str) -> DataFrame:
     return history.panel(_t(s, d, "history"))
 
 
+WEEK = ("project_id", "year", "week")
+
+
+def _newest_pins(s: SparkSession, d: str) -> DataFrame:
+    """The last snapshot of every project and week."""
+    w = _t(s, d, "w32_2026")
+    last = w.groupBy(*WEEK).agg(F.max(F.struct("pin_no", "snap_id")).alias("l")).select(F.col("l.snap_id").alias("snap_id"))
+    return w.join(last, "snap_id", "left_semi")
+
+
+def _lists(w: DataFrame, *keys: str) -> DataFrame:
+    """(…keys, field, items): the lines of both text fields of snapshots."""
+    item = lambda f, c: F.struct(F.lit(f).alias("field"), F.split(F.col(c), "\n").alias("items"))
+    return w.select(*keys, F.explode(F.array(item("concerns", "first_concern"), item("activities", "first_activity"))).alias("x")).select(*keys, "x.*")
+
+
 def _ruled(s: SparkSession, d: str) -> DataFrame:
-    return rules.expected(history.with_previous(_panel(s, d)), _t(s, d, "dim_project"), _t(s, d, "dim_expectation"))
+    rows = rules.expected(history.with_previous(_panel(s, d)), _t(s, d, "dim_project"), _t(s, d, "dim_expectation"))
+    return rules.with_junk(rows, rules.content_not_prose(_lists(_newest_pins(s, d), *WEEK), WEEK), WEEK)
+
+
+def _findings(s: SparkSession, d: str) -> DataFrame:
+    """All thirteen rules: those of the panel, and of the last snapshot of each recorded week."""
+    pins = _newest_pins(s, d)
+    scopes = pins.select(*WEEK, F.explode("scopes").alias("scope", "v")).select(*WEEK, "scope", "v.plan", "v.actual")
+    below = rules.detail_findings(rules.scope_incomplete(scopes, WEEK), rules.content_not_prose(_lists(pins, *WEEK), WEEK))
+    return rules.findings(_ruled(s, d)).unionByName(below.join(_panel(s, d).select(*WEEK), list(WEEK), "left_semi"))
 
 
 def _pin(s: SparkSession, d: str, n: int) -> DataFrame:
@@ -95,19 +120,20 @@ def iso_tuesdays(s, d):
 
 
 def findings_all(s, d):
-    return rules.findings(_ruled(s, d))
+    return _findings(s, d)
 
 
 def findings_counts(s, d):
-    return rules.counts(rules.findings(_ruled(s, d)))
+    return rules.counts(_findings(s, d))
 
 
 def findings_by_project(s, d):
-    return rules.by_project(rules.findings(_ruled(s, d)))
+    return rules.by_project(_findings(s, d))
 
 
 def findings_text(s, d):
-    return rules.as_text(rules.findings(_ruled(s, d)).where((F.col("year") == NOW[0]) & (F.col("week") == NOW[1])))
+    """The findings of every recorded week of every project as lines."""
+    return rules.as_text(_findings(s, d))
 
 
 def rule_scope_incomplete(s, d):
@@ -115,15 +141,8 @@ def rule_scope_incomplete(s, d):
 
 
 def rule_content_not_prose(s, d):
-    """Snapshots whose texts hold table lines: how many of how many, and the first, cut to 120."""
-    w = _t(s, d, "w32_2026")
-    item = lambda f: F.struct(F.lit(f).alias("field"), F.split(F.col(f), "\n").alias("lines"))
-    lines = w.select("snap_id", F.explode(F.array(item("first_concern"), item("first_activity"))).alias("x")).select("snap_id", "x.field", F.posexplode("x.lines").alias("n", "line"))
-    junk = text.looks_like_table(F.col("line"))
-    found = lines.groupBy("snap_id", "field").agg(
-        F.count_if(junk).alias("n_junk"), F.count(F.lit(1)).alias("n_lines"), F.substring(F.min_by(F.when(junk, F.col("line")), F.when(junk, F.col("n"))), 1, 120).alias("sample")
-    )
-    return found.where("n_junk > 0")
+    """Snapshots whose lists hold table lines: how many of how many, the first, and a note at the cap."""
+    return rules.content_not_prose(_lists(_t(s, d, "w32_2026"), "snap_id"), ("snap_id",))
 
 
 def discipline_rows(s, d):
@@ -258,11 +277,16 @@ prev as (
     lag(n_disc) over w as prev_n_disc, lag(n_scopes) over w as prev_n_scopes, coalesce(lag(streak) over w, 0) as prev_streak
   from runs window w as (partition by project_id order by year, week)
 )"""
-_IN = "coalesce({0} between 0 and 100, false)"
-_FINDINGS = f"""{_PREV},
+_FINDINGS = """@PREV@,
+pins as (select * from (select *, row_number() over (partition by project_id, year, week order by pin_no desc, snap_id desc) as r from w32_2026) where r = 1),
+junk as (select project_id, year, week, field, count(*) as n from (
+    select project_id, year, week, 'concerns' as field, unnest(string_split(first_concern, chr(10))) as line from pins
+    union all select project_id, year, week, 'activities', unnest(string_split(first_activity, chr(10))) from pins) where @JUNK@ group by all),
 ruled as (
-  select p.*, coalesce(e.min_disc, 0) as min_disc, coalesce(e.min_scopes, 0) as min_scopes, coalesce(e.needs_pct, false) as needs_pct
+  select p.*, coalesce(jc.n, 0) as junk_c, coalesce(ja.n, 0) as junk_a, coalesce(e.min_disc, 0) as min_disc, coalesce(e.min_scopes, 0) as min_scopes, coalesce(e.needs_pct, false) as needs_pct
   from prev p left join (select project_id, min(kind) as kind from dim_project group by 1) d on p.project_id = d.project_id left join dim_expectation e on d.kind = e.kind
+  left join junk jc on jc.field = 'concerns' and jc.project_id = p.project_id and jc.year = p.year and jc.week = p.week
+  left join junk ja on ja.field = 'activities' and ja.project_id = p.project_id and ja.year = p.year and ja.week = p.week
 ),
 found as (
   select project_id, year, week, 1 as rule_no, 'FAIL' as severity, 'missing-pct' as rule, 'plan' as subject from ruled where needs_pct and plan is null
@@ -271,8 +295,8 @@ found as (
   union all select project_id, year, week, 2, 'FAIL', 'pct-out-of-range', 'actual' from ruled where needs_pct and not (actual between 0 and 100)
   union all select project_id, year, week, 3, 'FAIL', 'missing-disciplines', null from ruled where coalesce(n_disc, 0) < min_disc
   union all select project_id, year, week, 4, 'FAIL', 'missing-scopes', null from ruled where coalesce(n_scopes, 0) < min_scopes
-  union all select project_id, year, week, 7, 'WARN', 'content-truncated', 'concerns' from ruled where n_concerns >= 20
-  union all select project_id, year, week, 7, 'WARN', 'content-truncated', 'activities' from ruled where n_activities >= 20
+  union all select project_id, year, week, 7, 'WARN', 'content-truncated', 'concerns' from ruled where n_concerns >= 20 and junk_c = 0
+  union all select project_id, year, week, 7, 'WARN', 'content-truncated', 'activities' from ruled where n_activities >= 20 and junk_a = 0
   union all select project_id, year, week, 8, 'WARN', 'content-empty', null from ruled where coalesce(n_concerns, 0) = 0 and coalesce(n_activities, 0) = 0
   union all select project_id, year, week, 9, 'WARN', 'variance-large', null from ruled where plan between 0 and 100 and actual between 0 and 100 and round(abs(actual - plan), 6) > 25
   union all select project_id, year, week, 10, 'FAIL', 'value-vanished', 'plan' from ruled where plan is null and prev_plan is not null
@@ -281,6 +305,9 @@ found as (
   union all select project_id, year, week, 12, 'WARN', 'structure-shrank', 'disciplines' from ruled where prev_year is not null and coalesce(n_disc, 0) < coalesce(prev_n_disc, 0)
   union all select project_id, year, week, 12, 'WARN', 'structure-shrank', 'scopes' from ruled where prev_year is not null and coalesce(n_scopes, 0) < coalesce(prev_n_scopes, 0)
   union all select project_id, year, week, 13, 'WARN', 'value-frozen', null from ruled where prev_streak + 1 >= 3 and actual between 0 and 100 and actual = prev_actual
+  union all select p.project_id, p.year, p.week, 5, 'WARN', 'scope-incomplete', s.key from (select project_id, year, week, unnest(map_entries(scopes)) as s from pins) p
+    join panel using (project_id, year, week) where coalesce(isnan(s.value.plan), true) or coalesce(isnan(s.value.actual), true)
+  union all select project_id, year, week, 6, 'WARN', 'content-not-prose', field from junk join panel using (project_id, year, week)
 )"""
 _DUE = f"""
 panel as ({_panel_sql()}),
@@ -305,6 +332,9 @@ def table_like(line: str) -> str:
   or {labels} >= 3 or ({labels} >= 2 and len({toks}) <= 6))"""
 
 
+_FINDINGS = _FINDINGS.replace("@PREV@", _PREV).replace("@JUNK@", table_like(_STRIP.format("line")))
+
+
 _DISC = """case when lower(trim({0})) like 'eng%' then 'Engineering' when lower(trim({0})) like 'proc%' then 'Procurement'
   when lower(trim({0})) like 'const%' then 'Construction' when lower(trim({0})) like 'comm%' then 'Commissioning' else {0} end"""
 _TIDY = f"""tidy as (
@@ -369,18 +399,19 @@ from (select distinct year, week from ({_panel_sql()}))""",
   arg_min(rule, (case severity when 'FAIL' then 0 else 1 end) * 100 + rule_no) as worst from found group by project_id""",
         "findings_text": f"""with {_FINDINGS} select project_id, year, week, string_agg(severity || ' ' || rule || coalesce(': ' || subject, ''), chr(10)
   order by case severity when 'FAIL' then 0 else 1 end, rule_no, severity || ' ' || rule || coalesce(': ' || subject, '')) as text
-from found where year = 2026 and week = 32 group by project_id, year, week""",
+from found group by project_id, year, week""",
         "rule_scope_incomplete": f"""select snap_id, s.key as scope, 'plan=' || coalesce({_NUM.format("s.value.plan")}, 'None') || ', actual=' || coalesce({_NUM.format("s.value.actual")}, 'None') as detail
 from (select snap_id, unnest(map_entries(scopes)) as s from w32_2026)
 where ({_CLEAN.format("s.value.plan")}) is null or ({_CLEAN.format("s.value.actual")}) is null""",
         "rule_content_not_prose": f"""with items as (
-  select snap_id, 'first_concern' as field, string_split(first_concern, chr(10)) as ls from w32_2026 where first_concern is not null
-  union all select snap_id, 'first_activity', string_split(first_activity, chr(10)) from w32_2026 where first_activity is not null
+  select snap_id, 'concerns' as field, string_split(first_concern, chr(10)) as ls from w32_2026 where first_concern is not null
+  union all select snap_id, 'activities', string_split(first_activity, chr(10)) from w32_2026 where first_activity is not null
 ),
 lines as (select snap_id, field, unnest(ls) as line, generate_subscripts(ls, 1) as n from items),
 bare as (select *, {_STRIP.format("line")} as s from lines),
 flagged as (select *, {table_like("s")} as junk from bare)
-select snap_id, field, count(*) filter (junk) as n_junk, count(*) as n_lines, left(arg_min(line, n) filter (junk), 120) as sample
+select snap_id, field, count(*) filter (junk) as n_junk, cast(count(*) as int) as n_items, left(arg_min(line, n) filter (junk), 120) as sample,
+  case when count(*) >= 20 then 'the list is at its cap of 20' end as note
 from flagged group by snap_id, field having count(*) filter (junk) > 0""",
         "discipline_rows": f"with {_TIDY} select * from tidy",
         "snapshot_discipline_rows": f"""with d as (

@@ -150,11 +150,12 @@ def test_seeds(spark):
 ROW = "project_id string, year int, week int, plan double, actual double, n_disc int, n_scopes int, n_concerns int, n_activities int"
 
 
-def _findings(spark, rows, kind="wind"):
+def _findings(spark, rows, kind="wind", junk=None):
     h = spark.createDataFrame([(("A", 2026, w, *r) if len(r) == 6 else ("A", 2026, w, *r, 3, 3)) for w, r in rows], ROW)
     p = spark.createDataFrame([("A", kind)], "project_id string, kind string")
     e = spark.createDataFrame([("wind", 0, 2, True), ("wte", 4, 0, True)], "kind string, min_disc int, min_scopes int, needs_pct boolean")
-    f = rules.findings(rules.expected(history.with_previous(h), p, e)).collect()
+    none = spark.createDataFrame(junk or [], "project_id string, year int, week int, field string, n_junk int")
+    f = rules.findings(rules.with_junk(rules.expected(history.with_previous(h), p, e), none, ("project_id", "year", "week"))).collect()
     return {(r.week, r.rule, r.subject) for r in f}
 
 
@@ -172,9 +173,22 @@ def test_rules(spark):
     frozen = [x for x in _findings(spark, [(w, (60.0, 48.0, 4, 2)) for w in range(1, 6)]) if x[1] == "value-frozen"]
     assert sorted(frozen) == [(4, "value-frozen", None), (5, "value-frozen", None)]
     assert _findings(spark, [(1, (80.0, 50.0, 4, 2, 20, 0))]) == {(1, "variance-large", None), (1, "content-truncated", "concerns")}
+    # a list that holds table text is not called truncated as well
+    assert _findings(spark, [(1, (50.0, 50.0, 4, 2, 20, 20))], junk=[("A", 2026, 1, "concerns", 3)]) == {(1, "content-truncated", "activities")}
     assert _findings(spark, [(1, (50.0, 50.0, 4, 2, 0, 0))]) == {(1, "content-empty", None)}
 
 
+def test_lists_that_are_not_prose(spark):
+    lists = [(1, "concerns", ["5.1 Root cause list", "the crane waits for parts"] + ["work goes on at the gate"] * 18), (2, "concerns", ["the crane waits for parts"]), (3, "activities", [None, "x y"]), (4, "activities", None)]
+    got = rules.content_not_prose(spark.createDataFrame(lists, "snap_id int, field string, items array<string>"), ("snap_id",)).collect()
+    assert {(r.snap_id, r.n_junk, r.n_items, r.sample, r.note is not None) for r in got} == {(1, 1, 20, "5.1 Root cause list", True), (3, 1, 2, None, False)}
+
+
+@pytest.mark.parametrize("s,want", [(" Yes ", True), ("✓", True), ("x", True), ("y", False), ("1", True), ("0", False), ("", False), (None, False)])
+def test_truthy(spark, s, want):
+    assert one(spark, text.truthy(F.col("x")), s) is want
+
+
 def test_upsert_is_idempotent(spark, tmp_path):
     cols = "rec_id bigint, " + ROW + ", recorded_at timestamp"
     old = spark.createDataFrame([(1, "A", 2026, 1, 1.0, 1.0, 1, 1, 1, 1, dt.datetime(2026, 1, 1)), (2, "A", 2026, 2, 2.0, float("nan"), 1, 1, 1, 1, dt.datetime(2026, 1, 8))], cols)
