@@ -24,6 +24,7 @@ DISCIPLINE_WORD = r"(?i)engineer|procure|construct|commission"
 CURVE_HEADING = r"(?m)^[ \t]*3\.2\.\d+\s+(\S.*?)\s*$"
 SCOPE_CURVE = r"(?i)overall progress s-?curve\s*\(([^)]+)\)"
 THIS_WEEK = r"(?i)this week activities"
+SINGLE = r"(?i)overall\s*progress\s*(?:is\s+)?(\d{1,3}(?:\.\d{1,2})?)\s*%"
 STEMS = {"engineer": "engineering", "procure": "procurement", "construct": "construction", "commission": "commissioning"}
 LABELS = (*STEMS.values(), "overall")
 COLUMNS = ("doc_id", "scope", "label", "plan", "actual")
@@ -45,20 +46,28 @@ def _label_of(cell: Column) -> Column:
     return out
 
 
-def _best(candidates: DataFrame, least: dict[int, int]) -> DataFrame:
+def _exact_label(cell: Column) -> Column:
+    low = F.lower(strip(cell))
+    return F.when(low.isin(*STEMS.values()), low).when(low.contains("overall"), "overall")
+
+
+def _best(candidates: DataFrame, least: dict[int, int], by_page: bool = False) -> DataFrame:
     """Of each document the candidates of the first attempt (priority, attempt no.) that has enough
-    disciplines; ``least`` maps a priority to that number."""
+    disciplines; ``least`` maps a priority to that number.  ``by_page`` goes through the pages first
+    and tries all priorities on each."""
     by = ["doc_id", "priority", "attempt"]
     enough = reduce(lambda out, kv: F.when(F.col("priority") == kv[0], kv[1]).otherwise(out), least.items(), F.lit(1))
     n = candidates.groupBy(*by).agg(F.count_if(F.col("label") != "overall").alias("_n")).where(F.col("_n") >= enough)
-    first = n.groupBy("doc_id").agg(F.min(F.struct("priority", "attempt")).alias("w")).select("doc_id", "w.priority", "w.attempt")
+    order = F.struct(F.col("attempt.page_no").alias("page_no"), "priority", "attempt") if by_page else F.struct("priority", "attempt")
+    first = n.groupBy("doc_id").agg(F.min_by(F.struct("priority", "attempt"), order).alias("w")).select("doc_id", "w.priority", "w.attempt")
     return candidates.join(first, by, "left_semi").drop("priority", "attempt")
 
 
-def _table_candidates(rows: DataFrame, pages: DataFrame, pair, priority: int) -> DataFrame:
-    """Labelled rows of tables on the given pages; of equal labels in a table the last counts."""
+def _table_candidates(rows: DataFrame, pages: DataFrame, pair, priority: int, exact: bool = False) -> DataFrame:
+    """Labelled rows of tables on the given pages; of equal labels in a table the last counts.  ``exact``
+    wants a discipline's name alone in the first cell."""
     r = rows.join(pages.select("doc_id", "page_no"), ["doc_id", "page_no"], "left_semi")
-    r = r.withColumn("label", _label_of(F.get("cells", F.lit(0)))).withColumn("p", pair(F.col("cells"))).where("label is not null and p.plan is not null and p.actual is not null")
+    r = r.withColumn("label", (_exact_label if exact else _label_of)(F.get("cells", F.lit(0)))).withColumn("p", pair(F.col("cells"))).where("label is not null and p.plan is not null and p.actual is not null")
     got = r.groupBy("doc_id", "page_no", "tbl_no", "label").agg(F.max_by("p", "row_no").alias("p"))
     attempt = F.struct("page_no", "tbl_no")
     return got.select("doc_id", F.lit(priority).alias("priority"), attempt.alias("attempt"), "label", "p.plan", "p.actual")
@@ -80,7 +89,7 @@ def weekly_table(pages: DataFrame, rows: DataFrame) -> DataFrame:
     a missing overall is the weighted mean of what is there."""
     t = F.col("text")
     on = pages.where(t.rlike(WEEKLY_PAGE) & ~t.rlike(MONTHLY_PAGE) & t.rlike(DISCIPLINE_WORD))
-    got = _best(_table_candidates(rows, on, positional, 1).unionByName(_text_candidates(on, "row_pair", 2)), {1: 3, 2: 2})
+    got = _best(_table_candidates(rows, on, positional, 1, exact=True).unionByName(_text_candidates(on, "row_pair", 2)), {1: 3, 2: 2}, by_page=True)
     mean = got.where("label <> 'overall'").groupBy("doc_id").agg(weighted(F.col("plan"), F.initcap("label")).alias("plan"), weighted(F.col("actual"), F.initcap("label")).alias("actual"))
     lacking = mean.join(got.where("label = 'overall'"), "doc_id", "left_anti").select("doc_id", F.lit("overall").alias("label"), "plan", "actual")
     return got.select("doc_id", "label", "plan", "actual").unionByName(lacking).select("doc_id", F.lit(None).cast("string").alias("scope"), "label", "plan", "actual")
@@ -92,26 +101,59 @@ def heading_kind(title: Column) -> Column:
     return F.when(key.contains("overall"), "overall").when(key.isin(*STEMS.values()), key)
 
 
-def section_curves(pages: DataFrame, rows: DataFrame) -> DataFrame:
-    """Numbered curve pages with one callout each; without an overall there, the overall row of the
-    package table read from its end, then labelled tables."""
+def _callouts(pages: DataFrame) -> DataFrame:
+    """(doc_id, page_no, scope, label, plan, actual): numbered curve pages with their first callout."""
     p = pages.where(F.lower("text").contains("3.2 s-curve"))
     s = F.get(statements(F.col("text"), GRAMMARS["callout"]), F.lit(0))
     p = p.select("doc_id", "page_no", strip(F.regexp_extract("text", CURVE_HEADING, 1)).alias("title"), s.alias("s")).where("title <> '' and s.plan is not null and s.actual is not null")
     kind = heading_kind(F.col("title"))
-    c = p.select("doc_id", "page_no", F.when(kind.isNull(), F.col("title")).alias("scope"), F.coalesce(kind, F.lit("overall")).alias("label"), "s.plan", "s.actual")
-    curves = c.groupBy("doc_id", "scope", "label").agg(F.max_by(F.struct("plan", "actual"), "page_no").alias("s")).select("doc_id", "scope", "label", "s.plan", "s.actual")
-    whole = curves.where("scope is null and label = 'overall'").select("doc_id")
-    rest = pages.join(whole, "doc_id", "left_anti").where(F.col("text").rlike(r"(?i)overall.*progress|progress.*summary|discipline") & F.col("text").rlike(DISCIPLINE_WORD))
-    line = rest.select("doc_id", "page_no", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(strip(F.col("line")).rlike(r"(?i)^overall\s+progress\b") & F.col("line").contains("%"))
+    return p.select("doc_id", "page_no", F.when(kind.isNull(), F.col("title")).alias("scope"), F.coalesce(kind, F.lit("overall")).alias("label"), "s.plan", "s.actual")
+
+
+def area_disciplines(pages: DataFrame, matrix: DataFrame) -> DataFrame:
+    """(doc_id, scope, label, plan, actual, wf): the rows of the letter-spaced tables (doc_id, page_no,
+    discipline, weight, plan, actual) on area pages, under their area; its overall row is left out."""
+    area = _callouts(pages).where("scope is not null")
+    last = area.groupBy("doc_id", "scope").agg(F.max("page_no").alias("page_no"))
+    m = matrix.where("discipline <> 'Overall'").select("doc_id", "page_no", F.lower("discipline").alias("label"), "plan", "actual", F.col("weight").alias("wf"))
+    return last.join(m, ["doc_id", "page_no"]).select("doc_id", "scope", "label", "plan", "actual", "wf")
+
+
+def overall_curve(pages: DataFrame) -> DataFrame:
+    """(doc_id, plan, actual): the callout of the first curve page for the whole project, which names no
+    discipline."""
+    t = F.lower("text")
+    s = F.get(statements(F.col("text"), GRAMMARS["callout"]), F.lit(0))
+    p = pages.where(t.contains("s-curve") & t.contains("overall progress") & ~t.contains("engineering")).select("doc_id", "page_no", s.alias("s")).where("s is not null")
+    return p.groupBy("doc_id").agg(F.min_by("s", "page_no").alias("s")).select("doc_id", "s.plan", "s.actual")
+
+
+def section_curves(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Numbered curve pages with one callout each, if they give the overall and at least one discipline or
+    area.  Other documents: on pages that are no curve pages the overall row of the package table
+    read from its end, then labelled tables, then rows of text; the overall curve's figures, where
+    there is one, stand for the project's."""
+    c = _callouts(pages)
+    last = c.groupBy("doc_id", "scope", "label").agg(F.max_by(F.struct("plan", "actual"), "page_no").alias("s")).select("doc_id", "scope", "label", "s.plan", "s.actual")
+    is_whole = (F.col("scope").isNull() & (F.col("label") == "overall")).cast("int")
+    whole = last.groupBy("doc_id").agg(F.max(is_whole).alias("w"), F.count(F.lit(1)).alias("n")).where("w = 1 and n > 1").select("doc_id")
+    curves = last.join(whole, "doc_id", "left_semi")
+    t = F.col("text")
+    rest = pages.join(whole, "doc_id", "left_anti")
+    on = rest.where(t.rlike(r"(?i)overall.*progress|progress.*summary|discipline") & t.rlike(r"(?i)engineering|procurement|construction") & ~F.lower("text").contains("s-curve"))
+    line = on.select("doc_id", "page_no", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(strip(F.col("line")).rlike(r"(?i)^overall\s+progress\b") & F.col("line").contains("%"))
     picked = line.withColumn("p", pick_from_end(numbers_in(F.col("line")))).where("p is not null")
-    first = picked.groupBy("doc_id").agg(F.min_by("p", F.struct("page_no", "n")).alias("p"))
+    first = picked.groupBy("doc_id", "page_no").agg(F.min_by("p", "n").alias("p"))
     lead = F.array(*(F.struct(F.lit(name).alias("label"), F.get("p.lead", F.lit(2 * k)).alias("plan"), F.get("p.lead", F.lit(2 * k + 1)).alias("actual")) for k, name in enumerate(STEMS.values())))
-    from_row = first.select("doc_id", F.explode(F.concat(F.array(F.struct(F.lit("overall").alias("label"), F.col("p.plan").alias("plan"), F.col("p.actual").alias("actual"))), lead)).alias("x")).select("doc_id", "x.*").where("plan is not null and actual is not null")
-    left = rest.join(from_row, "doc_id", "left_anti")
-    other = _best(_table_candidates(rows, left, lambda cs: four_or_two(_figures(cs)), 1).unionByName(_text_candidates(left, "row_pair", 2)), {1: 2, 2: 2})
-    none = F.lit(None).cast("string").alias("scope")
-    return curves.unionByName(from_row.unionByName(other).select("doc_id", none, "label", "plan", "actual"))
+    of_row = F.filter(F.concat(F.array(F.struct(F.lit("overall").alias("label"), F.col("p.plan").alias("plan"), F.col("p.actual").alias("actual"))), lead), lambda x: x["plan"].isNotNull() & x["actual"].isNotNull())
+    attempt = F.struct("page_no", F.lit(0).alias("tbl_no")).alias("attempt")
+    from_row = first.select("doc_id", F.lit(1).alias("priority"), attempt, F.explode(of_row).alias("x")).select("doc_id", "priority", "attempt", "x.*")
+    both = from_row.unionByName(_table_candidates(rows, on, lambda cs: four_or_two(_figures(cs)), 2)).unionByName(_text_candidates(on, "row_pair", 3))
+    got = _best(both, {1: 0, 2: 2, 3: 2}, by_page=True)
+    over = overall_curve(rest)
+    kept = got.join(over.select("doc_id", F.lit("overall").alias("label")), ["doc_id", "label"], "left_anti").select("doc_id", "label", "plan", "actual")
+    fallen = kept.unionByName(over.select("doc_id", F.lit("overall").alias("label"), "plan", "actual"))
+    return curves.unionByName(fallen.select("doc_id", F.lit(None).cast("string").alias("scope"), "label", "plan", "actual"))
 
 
 def _overlaid(scan: DataFrame, summary: DataFrame) -> DataFrame:
@@ -132,46 +174,90 @@ def _construction_stands_in(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.unionByName(proxy)
 
 
-def scope_statements(pages: DataFrame, scope_of: Column, summary: DataFrame | None = None, primary: str = "plant") -> DataFrame:
+def scope_statements(pages: DataFrame, scope_of: Column, summary: DataFrame | None = None, listed: DataFrame | None = None, primary: str = "plant") -> DataFrame:
     """This-week pages: three wordings in order, the last match of a label wins, later pages over
-    earlier ones per scope; disciplines of the primary scope only; a summary overlays."""
+    earlier ones per scope; disciplines of the primary scope only.
+
+    ``summary`` has the figures of summary cells.  They overlay those of the ``listed`` documents (doc_id;
+    all where it is not given); other documents take them only where no page gave anything."""
     t = F.col("text")
     on = pages.where(t.rlike(THIS_WEEK)).withColumn("scope", scope_of).where("scope is not null").withColumn("text", F.substring(t, F.regexp_instr(t, F.lit(THIS_WEEK)), F.length(t)))
-    found = winning(read_statements(on, ["doc_id", "scope", "page_no"], "text", ("stands_at", "compared", "summary")), ["doc_id", "scope", "page_no"])
+    found = winning(read_statements(on, ["doc_id", "scope", "page_no"], "text", ("stands_at", "compared", "summary")).where("plan is not null and actual is not null"), ["doc_id", "scope", "page_no"])
     last = found.groupBy("doc_id", "scope").agg(F.max("page_no").alias("page_no"))
     got = _construction_stands_in(found.join(last, ["doc_id", "scope", "page_no"], "left_semi").select(*COLUMNS), ["doc_id", "scope"])
     got = got.where((F.col("label") == "overall") | (F.col("scope") == primary))
-    return _with_primary(got if summary is None else _overlaid(got, summary), primary)
-
-
-def cell_statements(cells: DataFrame) -> DataFrame:
-    """Summary cells (doc_id, scope, cell): wordings in order, each tried only while it is still needed:
-    the second to fourth while overall is unset, the fifth and sixth while nothing is set.  A cell
-    without overall falls back to construction."""
+    if summary is not None:
+        on_top = summary if listed is None else summary.join(listed, "doc_id", "left_semi")
+        stand_in = summary.join(got.select("doc_id").distinct(), "doc_id", "left_anti")
+        got = _overlaid(got, on_top if listed is None else on_top.unionByName(stand_in.join(listed, "doc_id", "left_anti")))
+    return _with_primary(got, primary)
+
+
+def summary_statements(cells: DataFrame, keys: tuple[str, ...] = ("doc_id", "scope")) -> DataFrame:
+    """(…keys, label, plan, actual): summary cells (…keys, cell) of solar reports.  Three wordings in order,
+    the first match of a label wins, as a cell's sub-items repeat its wording; overall falls back to
+    construction, then to a figure without a plan, which counts as both."""
+    ks = list(keys)
+    found = read_statements(cells, ks, "cell", ("summary", "stands_at", "compared")).where("plan is not null and actual is not null")
+    one = winning(found, ks, last=False).where(F.col("label").isin("overall", "construction", "engineering", "procurement")).select(*ks, "label", "plan", "actual")
+    got = _construction_stands_in(one, ks)
+    single = F.regexp_extract("cell", SINGLE, 1).try_cast("double")
+    have = got.where("label = 'overall'").select(*ks)
+    alone = cells.join(have, ks, "left_anti").select(*ks, F.lit("overall").alias("label"), single.alias("plan"), single.alias("actual")).where("plan between 0 and 100")
+    return got.join(have.unionByName(alone.select(*ks)), ks, "left_semi").unionByName(alone)
+
+
+def cell_statements(cells: DataFrame, keys: tuple[str, ...] = ("doc_id", "scope")) -> DataFrame:
+    """Summary cells (…keys, cell) of wind reports: wordings in order, each tried only while it is still
+    needed: the second to fourth while overall is unset, the fifth and sixth while nothing is set.  A
+    cell without overall falls back to construction."""
     order = ("plan_then_actual", "actual_then_plan", "newline_plan", "delta", "inline", "signed_delta")
     first_wins = ("delta",)
-    found = read_statements(cells, ["doc_id", "scope"], "cell", order)
-    w = Window.partitionBy("doc_id", "scope", "label", "grammar_no").orderBy(F.when(F.col("grammar").isin(*first_wins), F.col("match_no")).otherwise(-F.col("match_no")))
+    found = read_statements(cells, list(keys), "cell", order)
+    w = Window.partitionBy(*keys, "label", "grammar_no").orderBy(F.when(F.col("grammar").isin(*first_wins), F.col("match_no")).otherwise(-F.col("match_no")))
     one = found.withColumn("_r", F.row_number().over(w)).where("_r = 1")
-    cell = Window.partitionBy("doc_id", "scope").orderBy("grammar_no").rangeBetween(Window.unboundedPreceding, -1)
+    cell = Window.partitionBy(*keys).orderBy("grammar_no").rangeBetween(Window.unboundedPreceding, -1)
     had_overall = F.coalesce(F.max(F.col("label") == "overall").over(cell), F.lit(False))
     had_any = F.coalesce(F.count(F.lit(1)).over(cell), F.lit(0)) > 0
     need = (F.col("grammar_no") == 0) | (F.col("grammar_no").between(1, 3) & ~had_overall) | (F.col("grammar_no").isin(4, 5) & ~had_any)
-    got = winning(one.withColumn("_need", need).where("_need"), ["doc_id", "scope"], last=False).select(*COLUMNS)
-    return _construction_stands_in(got, ["doc_id", "scope"]).where("label = 'overall' and plan is not null and actual is not null")
+    got = winning(one.withColumn("_need", need).where("_need"), list(keys), last=False).select(*keys, "label", "plan", "actual")
+    return _construction_stands_in(got, list(keys)).where("label = 'overall' and plan is not null and actual is not null")
+
 
+#: How far summary pages reach, and whether both titles must be on them.
+SUMMARY_TITLES = ("executive summary", "site progress")
+SOLAR_SUMMARY, WIND_SUMMARY = (10, False), (8, True)
 
-def summary_cells(pages: DataFrame, rows: DataFrame, header: str, target: str, scope_of: Column, within: int = 10) -> DataFrame:
-    """(doc_id, scope, cell): of the first summary page that has both rows, header cells naming a scope
-    paired by column with the target row.  ``scope_of`` reads the column 'header'."""
-    on = pages.where((F.col("page_no") <= within) & F.lower("text").rlike("executive summary|site progress")).select("doc_id", "page_no")
+
+def summary_cells(pages: DataFrame, rows: DataFrame, header: str, target: str, scope_of: Column, within: int = 10, both: bool = False) -> DataFrame:
+    """(doc_id, page_no, tbl_no, col_no, scope, cell): of every table of the summary pages that has both
+    rows, header cells naming a scope paired by column with the target row.  ``scope_of`` reads the
+    column 'header'; ``both`` wants both titles on a page, else one will do."""
+    one, two = (F.lower("text").contains(x) for x in SUMMARY_TITLES)
+    on = pages.where((F.col("page_no") <= within) & ((one & two) if both else (one | two))).select("doc_id", "page_no")
     r = rows.join(on, ["doc_id", "page_no"], "left_semi").where(multi_column(F.col("cells"))).withColumn("_j", F.lower(F.array_join("cells", " ")))
     t = r.groupBy("doc_id", "page_no", "tbl_no").agg(F.min_by("cells", F.when(F.col("_j").rlike(header), F.col("row_no"))).alias("h"), F.max_by("cells", F.when(F.replace(F.col("_j"), F.lit(" "), F.lit("")).rlike(target), F.col("row_no"))).alias("t"))
     t = t.where("h is not null and t is not null")
-    first = t.groupBy("doc_id").agg(F.min_by(F.struct("h", "t"), F.struct("page_no", "tbl_no")).alias("s"))
-    c = first.select("doc_id", F.posexplode(F.arrays_zip(F.col("s.h").alias("header"), F.col("s.t").alias("cell"))).alias("k", "x")).select("doc_id", "k", F.lower(F.col("x.header")).alias("header"), "x.cell")
-    c = c.withColumn("scope", scope_of).where("scope is not null and cell is not null")
-    return c.groupBy("doc_id", "scope").agg(F.min_by("cell", "k").alias("cell"))
+    c = t.select("doc_id", "page_no", "tbl_no", F.posexplode(F.arrays_zip(F.col("h").alias("header"), F.col("t").alias("cell"))).alias("col_no", "x")).select("doc_id", "page_no", "tbl_no", "col_no", F.lower(F.col("x.header")).alias("header"), "x.cell")
+    return c.withColumn("scope", scope_of).where("scope is not null and cell is not null and cell <> ''").drop("header")
+
+
+def solar_summary(cells: DataFrame, primary: str = "plant") -> DataFrame:
+    """Figures of solar summary cells, disciplines of the primary scope only; of several cells of a scope
+    that say something the last counts."""
+    at = F.struct("page_no", "tbl_no", "col_no").alias("at")
+    got = summary_statements(cells.select("doc_id", "scope", at, "cell"), ("doc_id", "scope", "at"))
+    last = got.groupBy("doc_id", "scope").agg(F.max("at").alias("at"))
+    return got.join(last, ["doc_id", "scope", "at"], "left_semi").where((F.col("label") == "overall") | (F.col("scope") == primary)).select(*COLUMNS)
+
+
+def wind_summary(cells: DataFrame) -> DataFrame:
+    """Overall figures of wind summary cells: of the first page that gives any, the last cell of a scope."""
+    keys = ("doc_id", "page_no", "tbl_no", "col_no", "scope")
+    got = cell_statements(cells, keys)
+    first = got.groupBy("doc_id").agg(F.min("page_no").alias("page_no"))
+    of = got.join(first, ["doc_id", "page_no"], "left_semi").groupBy("doc_id", "scope").agg(F.max_by(F.struct("label", "plan", "actual"), F.struct("tbl_no", "col_no")).alias("s"))
+    return of.select("doc_id", "scope", "s.label", "s.plan", "s.actual")
 
 
 def scope_curves(pages: DataFrame, rows: DataFrame, scope_names: dict[str, str], summary: DataFrame | None = None, primary: str = "plant") -> DataFrame:
@@ -181,7 +267,7 @@ def scope_curves(pages: DataFrame, rows: DataFrame, scope_names: dict[str, str],
     scope = F.upper(raw)
     for key, name in scope_names.items():
         scope = F.when(F.lower(raw) == key, name).otherwise(scope)
-    on = pages.where(F.col("text").rlike(SCOPE_CURVE)).withColumn("scope", scope)
+    on = pages.where(F.col("text").rlike(SCOPE_CURVE) & ~strip(F.col("text")).rlike(r"(?i)^construction progress s-?curve")).withColumn("scope", scope)
     text = winning(read_statements(on, ["doc_id", "scope"], "text", ("table_row",)), ["doc_id", "scope"]).select(*COLUMNS)
     left = on.join(text, ["doc_id", "scope"], "left_anti")
     tabs = _table_candidates(rows, left, lambda cs: four_or_two(_figures(cs)), 1).select("doc_id", F.col("attempt.page_no").alias("page_no"), "label", "plan", "actual").join(left.select("doc_id", "page_no", "scope"), ["doc_id", "page_no"])
@@ -230,7 +316,10 @@ def dispatched(kinds: DataFrame, families: dict[str, DataFrame]) -> DataFrame:
 
 #: When a family's own reader replaces the generic scan: 'found' even if empty, 'items' only if not
 #: empty, 'always' even if the section is absent, 'never'.  (concerns, activities)
-POLICY = {"solar": ("items", "items"), "wte": ("found", "found"), "wind": ("found", "items"), "terminal": ("found", "items"), "hydro": ("found", "items")}
+POLICY = {
+    "solar_listed": ("items", "items"), "solar": ("never", "items"), "wte": ("found", "found"), "wind": ("found", "items"), "terminal": ("found", "items"),
+    "hydro_printed": ("found", "items"), "hydro_drawn": ("always", "items"),
+}
 
 
 def content(generic: DataFrame, own: DataFrame, policy: dict[str, tuple[str, str]] = POLICY, cap: int = 20) -> DataFrame:

@@ -285,10 +285,15 @@ def test_section_curves(spark):
     p = pages(
         spark,
         (1, 1, "3.2 S-Curve\n3.2.1 Overall Progress\nPlan / Actual : 10.5% / 9%"), (1, 2, "3.2 S-Curve\n3.2.2 Engineering (E)\nPlan / Actual :\n60% 31.07% / 29.5%"), (1, 3, "3.2 S-Curve\n3.2.6 Marine Construction Area\nPlan / Actual : 1% / 2%"),
-        (2, 1, "Overall progress summary engineering\nOverall Progress 1 2 3 4 5 6 7 8 30 31 32 33 1 100%"),
+        (2, 1, "Overall progress summary engineering S-Curve\nOverall Progress 9 9 9 9 9 9 9 9 9 9 9 9 9 100%"), (2, 2, "Overall progress summary engineering\nOverall Progress 1 2 3 4 5 6 7 8 30 31 32 33 1 100%"),
     )
     got = read(progress.section_curves(p, table(spark, (9, 1, 0, 0, ["x"]))))
     assert {x for x in got if x[0] == 1} == {(1, None, "overall", 10.5, 9.0), (1, None, "engineering", 31.07, 29.5), (1, "Marine Construction Area", "overall", 1.0, 2.0)}
+    over = p.unionByName(pages(spark, (2, 3, "S-Curve\nOverall progress\nPlan / Actual : 44% / 43%"), (3, 1, "s-curve overall progress\nPlan / Actual : 4% / 3%")))
+    again = read(progress.section_curves(over, table(spark, (9, 1, 0, 0, ["x"]))))
+    assert (2, None, "overall", 44.0, 43.0) in again and (2, None, "overall", 32.0, 33.0) not in again and (2, None, "commissioning", 7.0, 8.0) in again and (3, None, "overall", 4.0, 3.0) in again
+    m = spark.createDataFrame([(1, 3, "Engineering", 10.0, 5.0, 4.0), (1, 3, "Overall", 100.0, 1.0, 2.0), (1, 1, "Engineering", 1.0, 1.0, 1.0)], "doc_id bigint, page_no int, discipline string, weight double, plan double, actual double")
+    assert [tuple(r) for r in progress.area_disciplines(p, m).collect()] == [(1, "Marine Construction Area", "engineering", 5.0, 4.0, 10.0)]
     assert (2, None, "overall", 32.0, 33.0) in got and (2, None, "commissioning", 7.0, 8.0) in got
 
 
@@ -317,7 +322,19 @@ def test_cells(spark):
     p = pages(spark, (1, 1, "Executive Summary"), (1, 2, "Site progress"))
     t = table(spark, (1, 1, 0, 0, ["Topic", "Plant A", "Line"]), (1, 1, 0, 1, ["Site Pro gress", "5%", "6%"]), (1, 2, 0, 0, ["Topic", "Plant", "Line"]), (1, 2, 0, 1, ["site progress", "7%", "8%"]))
     scope = F.when(F.col("header").contains("plant"), "plant").when(F.col("header") == "line", "line")
-    assert {(r.scope, r.cell) for r in progress.summary_cells(p, t, "plant", "siteprogress", scope).collect()} == {("plant", "5%"), ("line", "6%")}
+    assert {(r.page_no, r.scope, r.cell) for r in progress.summary_cells(p, t, "plant", "siteprogress", scope).collect()} == {(1, "plant", "5%"), (1, "line", "6%"), (2, "plant", "7%"), (2, "line", "8%")}
+    assert progress.summary_cells(p, t, "plant", "siteprogress", scope, *progress.WIND_SUMMARY).count() == 0  # both titles on a page
+
+
+def test_summary_statements(spark):
+    c = [
+        ("a", "Overall progress is 12% vs plan 13%\nTransformer overall progress 98% vs plan 100%"), ("b", "Construction progress 5% / Plan at 6%"), ("c", "Line overall progress is 100.00%"),
+        ("plant", "Overall progress stands at 8% against the planned progress of 9%\nProcurement progress 3% compared to plan at 4%"), ("d", "Civil progress 5% vs plan 6%"),
+    ]
+    df = spark.createDataFrame([(1, 1, 0, k, s, t) for k, (s, t) in enumerate(c)] + [(1, 2, 0, 0, "b", "Overall progress 7% vs plan 8%"), (1, 3, 0, 0, "b", "nothing said")], "doc_id bigint, page_no int, tbl_no int, col_no int, scope string, cell string")
+    assert read(progress.solar_summary(df)) == {(1, "a", "overall", 13.0, 12.0), (1, "b", "overall", 8.0, 7.0), (1, "c", "overall", 100.0, 100.0), (1, "plant", "overall", 9.0, 8.0), (1, "plant", "procurement", 4.0, 3.0)}
+    w = df.withColumn("cell", F.regexp_replace("cell", "(?s)^.*?([0-9]+)%.*$", "Progress$1%(Plan 50%, 0%)"))
+    assert {x for x in read(progress.wind_summary(w))} == {(1, s, "overall", 50.0, v) for s, v in (("a", 12.0), ("b", 5.0), ("plant", 8.0), ("d", 5.0), ("c", 0.0))}
 
 
 def test_whole_and_dispatch(spark):
@@ -332,9 +349,9 @@ def test_whole_and_dispatch(spark):
 
 
 def test_content_policy(spark):
-    generic = spark.createDataFrame([(k, kind, "concerns", ["g"]) for k, kind in enumerate(("wte", "wte", "solar", "solar", "odd"))], "doc_id bigint, kind string, field string, items array<string>")
-    own = spark.createDataFrame([(0, "concerns", [], True), (1, "concerns", None, False), (2, "concerns", [], True), (3, "concerns", ["s"], True), (4, "concerns", ["s"], True)], "doc_id bigint, field string, items array<string>, found boolean")
-    assert {r.doc_id: r.items for r in progress.content(generic, own).collect()} == {0: [], 1: ["g"], 2: ["g"], 3: ["s"], 4: ["g"]}
+    generic = spark.createDataFrame([(k, kind, "concerns", ["g"]) for k, kind in enumerate(("wte", "wte", "solar_listed", "solar_listed", "odd", "solar", "hydro_drawn"))], "doc_id bigint, kind string, field string, items array<string>")
+    own = spark.createDataFrame([(0, "concerns", [], True), (1, "concerns", None, False), (2, "concerns", [], True), (3, "concerns", ["s"], True), (4, "concerns", ["s"], True), (5, "concerns", ["s"], True), (6, "concerns", None, False)], "doc_id bigint, field string, items array<string>, found boolean")
+    assert {r.doc_id: r.items for r in progress.content(generic, own).collect()} == {0: [], 1: ["g"], 2: ["g"], 3: ["s"], 4: ["g"], 5: ["g"], 6: []}
 
 
 def test_structure(spark):
