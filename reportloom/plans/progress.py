@@ -46,6 +46,11 @@ def _label_of(cell: Column) -> Column:
     return out
 
 
+def _entries(df: DataFrame, keys: list[str], entries: Column) -> DataFrame:
+    """(…keys, label, plan, actual) of arrays of such entries."""
+    return df.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.label", "_e.plan", "_e.actual")
+
+
 def _exact_label(cell: Column) -> Column:
     low = F.lower(strip(cell))
     return F.when(low.isin(*STEMS.values()), low).when(low.contains("overall"), "overall")
@@ -55,12 +60,11 @@ def _best(candidates: DataFrame, least: dict[int, int], by_page: bool = False) -
     """Of each document the candidates of the first attempt (priority, attempt no.) that has enough
     disciplines; ``least`` maps a priority to that number.  ``by_page`` goes through the pages first
     and tries all priorities on each."""
-    by = ["doc_id", "priority", "attempt"]
     enough = reduce(lambda out, kv: F.when(F.col("priority") == kv[0], kv[1]).otherwise(out), least.items(), F.lit(1))
-    n = candidates.groupBy(*by).agg(F.count_if(F.col("label") != "overall").alias("_n")).where(F.col("_n") >= enough)
-    order = F.struct(F.col("attempt.page_no").alias("page_no"), "priority", "attempt") if by_page else F.struct("priority", "attempt")
-    first = n.groupBy("doc_id").agg(F.min_by(F.struct("priority", "attempt"), order).alias("w")).select("doc_id", "w.priority", "w.attempt")
-    return candidates.join(first, by, "left_semi").drop("priority", "attempt")
+    order = F.struct(F.col("attempt.page_no").alias("page_no"), "priority", "attempt") if by_page else F.struct(F.lit(0).alias("page_no"), "priority", "attempt")
+    c = candidates.withColumn("_o", order).withColumn("_n", F.count_if(F.col("label") != "overall").over(Window.partitionBy("doc_id", "_o"))).where(F.col("_n") >= enough)
+    first = F.min("_o").over(Window.partitionBy("doc_id"))
+    return c.withColumn("_first", first).where("_o = _first").drop("priority", "attempt", "_o", "_n", "_first")
 
 
 def _table_candidates(rows: DataFrame, pages: DataFrame, pair, priority: int, exact: bool = False) -> DataFrame:
@@ -90,9 +94,10 @@ def weekly_table(pages: DataFrame, rows: DataFrame) -> DataFrame:
     t = F.col("text")
     on = pages.where(t.rlike(WEEKLY_PAGE) & ~t.rlike(MONTHLY_PAGE) & t.rlike(DISCIPLINE_WORD))
     got = _best(_table_candidates(rows, on, positional, 1, exact=True).unionByName(_text_candidates(on, "row_pair", 2)), {1: 3, 2: 2}, by_page=True)
-    mean = got.where("label <> 'overall'").groupBy("doc_id").agg(weighted(F.col("plan"), F.initcap("label")).alias("plan"), weighted(F.col("actual"), F.initcap("label")).alias("actual"))
-    lacking = mean.join(got.where("label = 'overall'"), "doc_id", "left_anti").select("doc_id", F.lit("overall").alias("label"), "plan", "actual")
-    return got.select("doc_id", "label", "plan", "actual").unionByName(lacking).select("doc_id", F.lit(None).cast("string").alias("scope"), "label", "plan", "actual")
+    of = lambda f: weighted(F.when(F.col("label") != "overall", F.col(f)), F.initcap("label")).alias(f)
+    g = got.groupBy("doc_id").agg(of("plan"), of("actual"), F.max(F.col("label") == "overall").alias("_has"), F.collect_list(F.struct("label", "plan", "actual")).alias("e"))
+    mean = F.array(F.struct(F.lit("overall").alias("label"), "plan", "actual"))
+    return _entries(g, ["doc_id"], F.when(F.col("_has"), F.col("e")).otherwise(F.concat("e", mean))).select("doc_id", F.lit(None).cast("string").alias("scope"), "label", "plan", "actual")
 
 
 def heading_kind(title: Column) -> Column:
@@ -135,9 +140,10 @@ def section_curves(pages: DataFrame, rows: DataFrame) -> DataFrame:
     there is one, stand for the project's."""
     c = _callouts(pages)
     last = c.groupBy("doc_id", "scope", "label").agg(F.max_by(F.struct("plan", "actual"), "page_no").alias("s")).select("doc_id", "scope", "label", "s.plan", "s.actual")
-    is_whole = (F.col("scope").isNull() & (F.col("label") == "overall")).cast("int")
-    whole = last.groupBy("doc_id").agg(F.max(is_whole).alias("w"), F.count(F.lit(1)).alias("n")).where("w = 1 and n > 1").select("doc_id")
-    curves = last.join(whole, "doc_id", "left_semi")
+    of_doc = Window.partitionBy("doc_id")
+    is_whole = F.max((F.col("scope").isNull() & (F.col("label") == "overall")).cast("int")).over(of_doc)
+    curves = last.withColumns({"_w": is_whole, "_n": F.count(F.lit(1)).over(of_doc)}).where("_w = 1 and _n > 1").drop("_w", "_n")
+    whole = curves.where("scope is null and label = 'overall'").select("doc_id")
     t = F.col("text")
     rest = pages.join(whole, "doc_id", "left_anti")
     on = rest.where(t.rlike(r"(?i)overall.*progress|progress.*summary|discipline") & t.rlike(r"(?i)engineering|procurement|construction") & ~F.lower("text").contains("s-curve"))
@@ -156,22 +162,32 @@ def section_curves(pages: DataFrame, rows: DataFrame) -> DataFrame:
     return curves.unionByName(fallen.select("doc_id", F.lit(None).cast("string").alias("scope"), "label", "plan", "actual"))
 
 
-def _overlaid(scan: DataFrame, summary: DataFrame) -> DataFrame:
-    """Full outer by scope and label; the summary's figures win."""
-    a = scan.select("doc_id", "scope", "label", F.col("plan").alias("_p"), F.col("actual").alias("_a"))
-    return a.join(summary.select(*COLUMNS), ["doc_id", "scope", "label"], "full_outer").select("doc_id", "scope", "label", F.coalesce("plan", "_p").alias("plan"), F.coalesce("actual", "_a").alias("actual"))
+def _overlaid(scan: DataFrame, summary: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Full outer by scope and label; the summary's figures win.  With ``listed`` (doc_id) they only count in
+    these documents and in those where the scan has nothing."""
+    a = scan.select("doc_id", "scope", "label", F.col("plan").alias("_p"), F.col("actual").alias("_a"), F.lit(True).alias("_scan"))
+    b = summary.select(*COLUMNS, F.lit(True).alias("_sum"))
+    j = a.join(b, ["doc_id", "scope", "label"], "full_outer")
+    if listed is not None:
+        scanned = F.coalesce(F.max("_scan").over(Window.partitionBy("doc_id")), F.lit(False))
+        j = j.withColumn("_scanned", scanned).join(listed.select("doc_id", F.lit(True).alias("_listed")), "doc_id", "left")
+        counts = F.coalesce("_listed", F.lit(False)) | ~F.col("_scanned")
+        j = j.where(F.col("_scan").isNotNull() | counts).withColumns({c: F.when(counts, F.col(c)) for c in ("plan", "actual")})
+    return j.select("doc_id", "scope", "label", F.coalesce("plan", "_p").alias("plan"), F.coalesce("actual", "_a").alias("actual"))
 
 
 def _with_primary(scoped: DataFrame, primary: str) -> DataFrame:
     """The primary scope's overall figures stand for the project too."""
-    own = scoped.where((F.col("scope") == primary) & (F.col("label") == "overall")).withColumn("scope", F.lit(None).cast("string"))
-    return scoped.unionByName(own.select(*scoped.columns))
+    twice = F.when((F.col("scope") == primary) & (F.col("label") == "overall"), F.array("scope", F.lit(None).cast("string"))).otherwise(F.array("scope"))
+    return scoped.select("doc_id", F.explode(twice).alias("scope"), "label", "plan", "actual")
 
 
 def _construction_stands_in(found: DataFrame, keys: list[str]) -> DataFrame:
-    have = found.where("label = 'overall'").select(*keys)
-    proxy = found.where("label = 'construction'").join(have, keys, "left_anti").withColumn("label", F.lit("overall"))
-    return found.unionByName(proxy)
+    """Adds construction's figures as overall where there is no overall; labels are few and occur once."""
+    g = found.groupBy(*keys).agg(F.collect_list(F.struct("label", "plan", "actual")).alias("e"))
+    own = lambda name: F.filter("e", lambda x: x["label"] == name)
+    proxy = F.transform(own("construction"), lambda x: x.withField("label", F.lit("overall")))
+    return _entries(g, keys, F.when(F.size(own("overall")) > 0, F.col("e")).otherwise(F.concat("e", proxy)))
 
 
 def scope_statements(pages: DataFrame, scope_of: Column, summary: DataFrame | None = None, listed: DataFrame | None = None, primary: str = "plant") -> DataFrame:
@@ -183,28 +199,25 @@ def scope_statements(pages: DataFrame, scope_of: Column, summary: DataFrame | No
     t = F.col("text")
     on = pages.where(t.rlike(THIS_WEEK)).withColumn("scope", scope_of).where("scope is not null").withColumn("text", F.substring(t, F.regexp_instr(t, F.lit(THIS_WEEK)), F.length(t)))
     found = winning(read_statements(on, ["doc_id", "scope", "page_no"], "text", ("stands_at", "compared", "summary")).where("plan is not null and actual is not null"), ["doc_id", "scope", "page_no"])
-    last = found.groupBy("doc_id", "scope").agg(F.max("page_no").alias("page_no"))
-    got = _construction_stands_in(found.join(last, ["doc_id", "scope", "page_no"], "left_semi").select(*COLUMNS), ["doc_id", "scope"])
+    last = F.max("page_no").over(Window.partitionBy("doc_id", "scope"))
+    got = _construction_stands_in(found.withColumn("_last", last).where("page_no = _last").select(*COLUMNS), ["doc_id", "scope"])
     got = got.where((F.col("label") == "overall") | (F.col("scope") == primary))
-    if summary is not None:
-        on_top = summary if listed is None else summary.join(listed, "doc_id", "left_semi")
-        stand_in = summary.join(got.select("doc_id").distinct(), "doc_id", "left_anti")
-        got = _overlaid(got, on_top if listed is None else on_top.unionByName(stand_in.join(listed, "doc_id", "left_anti")))
-    return _with_primary(got, primary)
+    return _with_primary(got if summary is None else _overlaid(got, summary, listed), primary)
 
 
 def summary_statements(cells: DataFrame, keys: tuple[str, ...] = ("doc_id", "scope")) -> DataFrame:
     """(…keys, label, plan, actual): summary cells (…keys, cell) of solar reports.  Three wordings in order,
     the first match of a label wins, as a cell's sub-items repeat its wording; overall falls back to
     construction, then to a figure without a plan, which counts as both."""
-    ks = list(keys)
-    found = read_statements(cells, ks, "cell", ("summary", "stands_at", "compared")).where("plan is not null and actual is not null")
-    one = winning(found, ks, last=False).where(F.col("label").isin("overall", "construction", "engineering", "procurement")).select(*ks, "label", "plan", "actual")
-    got = _construction_stands_in(one, ks)
-    single = F.regexp_extract("cell", SINGLE, 1).try_cast("double")
-    have = got.where("label = 'overall'").select(*ks)
-    alone = cells.join(have, ks, "left_anti").select(*ks, F.lit("overall").alias("label"), single.alias("plan"), single.alias("actual")).where("plan between 0 and 100")
-    return got.join(have.unionByName(alone.select(*ks)), ks, "left_semi").unionByName(alone)
+    said = F.filter(F.concat(*(statements(F.col("cell"), GRAMMARS[g]) for g in ("summary", "stands_at", "compared"))), lambda x: x["plan"].isNotNull() & x["actual"].isNotNull())
+    c = cells.select(*keys, "cell", said.alias("_s"))
+    first = lambda name: F.get(F.filter("_s", lambda x: x["label"] == name), F.lit(0))
+    entry = lambda name, x: F.when(x.isNotNull(), F.struct(F.lit(name).alias("label"), x["plan"].alias("plan"), x["actual"].alias("actual")))
+    one = F.regexp_extract("cell", SINGLE, 1).try_cast("double")
+    single = F.when(one.between(0.0, 100.0), F.struct(F.lit("overall").alias("label"), one.alias("plan"), one.alias("actual")))
+    overall = F.coalesce(entry("overall", first("overall")), entry("overall", first("construction")), single)
+    each = F.filter(F.array(overall, *(entry(x, first(x)) for x in ("construction", "engineering", "procurement"))), lambda x: x.isNotNull())
+    return _entries(c, list(keys), F.when(overall.isNotNull(), each))
 
 
 def cell_statements(cells: DataFrame, keys: tuple[str, ...] = ("doc_id", "scope")) -> DataFrame:
@@ -247,16 +260,16 @@ def solar_summary(cells: DataFrame, primary: str = "plant") -> DataFrame:
     that say something the last counts."""
     at = F.struct("page_no", "tbl_no", "col_no").alias("at")
     got = summary_statements(cells.select("doc_id", "scope", at, "cell"), ("doc_id", "scope", "at"))
-    last = got.groupBy("doc_id", "scope").agg(F.max("at").alias("at"))
-    return got.join(last, ["doc_id", "scope", "at"], "left_semi").where((F.col("label") == "overall") | (F.col("scope") == primary)).select(*COLUMNS)
+    last = F.max("at").over(Window.partitionBy("doc_id", "scope"))
+    return got.withColumn("_last", last).where("at = _last").where((F.col("label") == "overall") | (F.col("scope") == primary)).select(*COLUMNS)
 
 
 def wind_summary(cells: DataFrame) -> DataFrame:
     """Overall figures of wind summary cells: of the first page that gives any, the last cell of a scope."""
     keys = ("doc_id", "page_no", "tbl_no", "col_no", "scope")
     got = cell_statements(cells, keys)
-    first = got.groupBy("doc_id").agg(F.min("page_no").alias("page_no"))
-    of = got.join(first, ["doc_id", "page_no"], "left_semi").groupBy("doc_id", "scope").agg(F.max_by(F.struct("label", "plan", "actual"), F.struct("tbl_no", "col_no")).alias("s"))
+    first = F.min("page_no").over(Window.partitionBy("doc_id"))
+    of = got.withColumn("_first", first).where("page_no = _first").groupBy("doc_id", "scope").agg(F.max_by(F.struct("label", "plan", "actual"), F.struct("tbl_no", "col_no")).alias("s"))
     return of.select("doc_id", "scope", "s.label", "s.plan", "s.actual")
 
 
@@ -310,8 +323,7 @@ def dispatched(kinds: DataFrame, families: dict[str, DataFrame]) -> DataFrame:
     without figures has one row of nulls."""
     parts = [f.join(kinds.where(F.col("kind") == k).select("doc_id"), "doc_id", "left_semi").select(*COLUMNS) for k, f in families.items()]
     got = reduce(DataFrame.unionByName, parts)
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("scope", "string"), ("label", "string"), ("plan", "double"), ("actual", "double"))]
-    return got.unionByName(kinds.join(got, "doc_id", "left_anti").select("doc_id", *none))
+    return kinds.select("doc_id").join(got, "doc_id", "left").select(*COLUMNS)
 
 
 #: When a family's own reader replaces the generic scan: 'found' even if empty, 'items' only if not

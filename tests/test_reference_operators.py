@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from reportloom import queries_data
 from reportloom.functions import grammar, numeric, text
 from reportloom.operators import history, layout, lines, rules, structure, tables
-from reportloom.plans import history_queries, progress, text_queries
+from reportloom.plans import family_queries, history_queries, progress, text_queries
 from reportloom.sources import files, seeds, sinks
 from reportloom.streaming import incremental
 
-MODULES = (queries_data, history_queries, text_queries)
+MODULES = (queries_data, history_queries, text_queries, family_queries)
 WITH_SQL = [(m, n) for m in MODULES for n in m.oracle_sql()]
 
 
