@@ -81,16 +81,42 @@ GRAMMARS = {
 }
 
 
-def statements(text: Column, g: Grammar) -> Column:
+#: Words of the wordings by which texts that cannot hold one are passed over.
+HINTS = {
+    "callout": "plan",
+    "stands_at": "stands",
+    "compared": "compared",
+    "summary": "progress",
+    "plan_then_actual": "progress",
+    "actual_then_plan": "actual",
+    "newline_plan": "progress",
+    "delta": "progress",
+    "inline": "progress",
+    "signed_delta": "progress",
+    "table_row": "%",
+    "pair": "plan/actual",
+    "cumulative_planned": "cum",
+    "cumulative_actual": "cum",
+    "physical": "physical",
+    "drawn_planned": "progress",
+    "drawn_actual": "progress",
+}
+
+
+def statements(text: Column, g: Grammar, low: Column | None = None) -> Column:
     """All statements of one wording in a text: array of (grammar, match_no, label, plan, actual).
 
     The label is lower case, 'overall' where the wording has none; figures outside 0 to 100
-    are null; what a wording derives (a plan from a delta) is derived here.
+    are null; what a wording derives (a plan from a delta) is derived here.  The text is gone
+    through once; groups are read from the matches.  ``low`` is the text in lower case, if at hand.
     """
-    # each group is extracted once, then read row by row
-    parts = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(g.pattern), F.lit(k + 1)).alias(name) for k, name in enumerate(g.groups)))
+    found = F.regexp_extract_all(text, F.lit(g.pattern), F.lit(0))
+    if g.name in HINTS:
+        has = (F.lower(text) if low is None else low).contains(HINTS[g.name])
+        found = F.when(has, found).otherwise(F.array().cast("array<string>"))
 
-    def one(s: Column, i: Column) -> Column:
+    def one(m: Column, i: Column) -> Column:
+        s = {name: F.regexp_extract(m, g.pattern, k + 1) for k, name in enumerate(g.groups)}
         num = {k: s[k].cast("double") for k in ("plan", "actual", "delta", "signed") if k in g.groups}
         label = F.regexp_replace(F.lower(s["label"]), r"\s+project$", "") if "label" in g.groups else F.lit("overall")
         plan, actual = num.get("plan"), num.get("actual")
@@ -101,7 +127,7 @@ def statements(text: Column, g: Grammar) -> Column:
         inside = lambda v: F.lit(None).cast("double") if v is None else F.when(v.between(0.0, 100.0), v)
         return F.struct(F.lit(g.name).alias("grammar"), (i + 1).alias("match_no"), label.alias("label"), inside(plan).alias("plan"), inside(actual).alias("actual"))
 
-    return F.transform(parts, one)
+    return F.transform(found, one)
 
 
 def read_statements(df: DataFrame, keys: list[str], text: str, grammars: tuple[str, ...]) -> DataFrame:
@@ -111,8 +137,9 @@ def read_statements(df: DataFrame, keys: list[str], text: str, grammars: tuple[s
     def ranked(k: int):
         return lambda s: s.withField("grammar_no", F.lit(k))
 
-    each = F.concat(*(F.transform(statements(F.col(text), GRAMMARS[name]), ranked(k)) for k, name in enumerate(grammars)))
-    return df.where(F.col(text).isNotNull()).select(*keys, F.explode(each).alias("s")).select(
+    low = F.col("_low")
+    each = F.concat(*(F.transform(statements(F.col(text), GRAMMARS[name], low), ranked(k)) for k, name in enumerate(grammars)))
+    return df.where(F.col(text).isNotNull()).withColumn("_low", F.lower(text)).select(*keys, F.explode(each).alias("s")).select(
         *keys, "s.grammar_no", "s.grammar", "s.match_no", "s.label", "s.plan", "s.actual"
     )
 

@@ -127,3 +127,8 @@ def tuesday_of(year: Column, week: Column) -> Column:
     jan4 = F.make_date(year, F.lit(1), F.lit(4))
     monday = F.date_sub(jan4, F.weekday(jan4))
     return F.date_add(monday, (week - 1) * 7 + 1)
+
+
+def cover_date(day: Column) -> Column:
+    """'5 August 2026'."""
+    return F.date_format(day, "d MMMM yyyy")

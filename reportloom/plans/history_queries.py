@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions import numeric, text
 from reportloom.operators import history, rules, structure
-from reportloom.sources import seeds, sinks
+from reportloom.sources import files, seeds, sinks
 
 NOW = (2026, 32)
 
@@ -248,8 +248,46 @@ def seed_first_wins(s, d):
     return seeds.history_of(pages).select("key", F.col("doc_id").alias("snap_id"), "n_scopes")
 
 
+def seed_last_report(s, d):
+    """Seed blocks read as a report: the last block of a key, scopes with their own figures."""
+    pages = sinks.seed_text(_t(s, d, "w32_2026")).select(F.col("snap_id").alias("doc_id"), "text")
+    weeks = _t(s, d, "w32_2026").select("year", "week")
+    r = seeds.report_of(pages, weeks)
+    return r.select("project_id", "year", "week", "plan", "actual", F.explode_outer(F.map_entries("scopes")).alias("e")).select("project_id", "year", "week", "plan", "actual", F.col("e.key").alias("scope"), F.col("e.value.plan").alias("scope_plan"), F.col("e.value.actual").alias("scope_actual"))
+
+
+def report_round_trip(s, d):
+    """Snapshots written as report documents, one a pin, and read back."""
+    num = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    items = lambda c, n: F.split(F.col(c), "\n").alias(n)
+    project = F.struct(F.col("project_id").alias("id"), num("plan"), num("actual"), items("first_concern", "concerns"), items("first_activity", "activities"))
+    docs = _t(s, d, "w32_2026").groupBy("year", "week", "pin_no").agg(F.collect_list(project).alias("projects"))
+    text = F.to_json(F.struct("year", "week", F.concat(F.lit("pin "), F.col("pin_no").cast("string")).alias("date"), "projects"))
+    r = files.report_json(docs.select(text.alias("text")))
+    return r.select("year", "week", "date", F.col("project.id").alias("project_id"), "project.plan", "project.actual", *(F.greatest(F.size(f"project.{c}"), F.lit(0)).alias(f"n_{c}") for c in ("concerns", "activities")))
+
+
+def sheet_filled(s, d):
+    """Every pin as a sheet whose empty figures are filled from the project's last pin."""
+    w = _t(s, d, "w32_2026")
+    last = w.groupBy("project_id").agg(F.max_by(F.struct("plan", "actual", "scopes"), "pin_no").alias("l")).select("project_id", "l.*")
+    got = files.filled_from(w.select("snap_id", "project_id", "plan", "actual", "scopes"), last.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("plan", "actual")}))
+    return got.select("snap_id", "project_id", "plan", "actual", F.size("scopes").alias("n_scopes"))
+
+
+def missing_by_week(s, d):
+    """Of every recorded week the projects whose row has no figure, as the map a page keeps."""
+    rows = _panel(s, d).where("plan is null and actual is null")
+    return sinks.weeks_to_lists(rows, "project_id").select(F.explode("weeks").alias("week", "projects")).select("week", F.array_join("projects", ",").alias("projects"))
+
+
+def cover_dates(s, d):
+    return _t(s, d, "orders").select("o_orderdate").distinct().select(F.col("o_orderdate").cast("date").cast("string").alias("day"), text.cover_date(F.col("o_orderdate")).alias("cover"))
+
+
 def queries() -> dict:
     named = (
+        seed_last_report, report_round_trip, sheet_filled, missing_by_week, cover_dates,
         history_upsert, history_first_wins, history_summary, history_of_project, prev_week, frozen_streak, report_due, missing_reports, week_keys, iso_tuesdays,
         findings_all, findings_counts, findings_by_project, findings_text, rule_scope_incomplete, rule_content_not_prose,
         discipline_rows, snapshot_discipline_rows, weighted_overall, summary_overlay, fixture_paths, fixture_diff,
@@ -484,6 +522,17 @@ select coalesce(t.project_id, b.project_id) as project_id, coalesce(t.year, b.ye
   coalesce(t.plan, b.plan) as plan, coalesce(t.actual, b.actual) as actual,
   case when t.scope is not null and b.scope is not null then 'both' when t.scope is not null then 'top' else 'base' end as source
 from base b full outer join top t on b.project_id = t.project_id and b.year = t.year and b.week = t.week and b.pin_no = t.pin_no and b.scope = t.scope""",
+        "seed_last_report": f"""with w as (select * from (select *, row_number() over (partition by project_id, year, week order by snap_id desc) as r from w32_2026) where r = 1),
+e as (select project_id, year, week, plan, actual, unnest(case when coalesce(cardinality(scopes), 0) = 0 then [null] else map_entries(scopes) end) as s from w)
+select project_id, year, week, case when not isnan(plan) and plan >= 0 then cast({d2.format("plan")} as double) end as plan, case when not isnan(actual) and actual >= 0 then cast({d2.format("actual")} as double) end as actual, s.key as scope,
+  case when not isnan(s.value.plan) and s.value.plan >= 0 then cast({d2.format("s.value.plan")} as double) end as scope_plan, case when not isnan(s.value.actual) and s.value.actual >= 0 then cast({d2.format("s.value.actual")} as double) end as scope_actual from e""",
+        "report_round_trip": """select year, week, 'pin ' || pin_no as date, project_id, case when not isnan(plan) then plan end as plan, case when not isnan(actual) then actual end as actual,
+  cast(coalesce(len(string_split(first_concern, chr(10))), 0) as int) as n_concerns, cast(coalesce(len(string_split(first_activity, chr(10))), 0) as int) as n_activities from w32_2026""",
+        "sheet_filled": f"""with l as (select project_id, arg_max(struct_pack(p := plan, a := actual, s := scopes), pin_no) as l from w32_2026 group by 1)
+select snap_id, w.project_id, coalesce({_CLEAN.format("plan")}, {_CLEAN.format("l.p")}) as plan, coalesce({_CLEAN.format("actual")}, {_CLEAN.format("l.a")}) as actual,
+  cast(case when cardinality(scopes) > 0 then cardinality(scopes) else coalesce(cardinality(l.s), -1) end as int) as n_scopes from w32_2026 w left join l on w.project_id = l.project_id""",
+        "missing_by_week": f"select week || '_' || year as week, string_agg(project_id, ',' order by project_id) as projects from ({_panel_sql()}) where plan is null and actual is null group by all",
+        "cover_dates": "select distinct strftime(o_orderdate, '%Y-%m-%d') as day, strftime(o_orderdate, '%-d %B %Y') as cover from orders",
         "seed_first_wins": """select project_id || '_W' || week || '_' || year as key, min(snap_id) as snap_id, cast(arg_min(coalesce(cardinality(scopes), 0), snap_id) as int) as n_scopes
 from w32_2026 group by 1""",
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,12 +25,20 @@ def session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where it is unset (tests), a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="reportloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder named in spark.checkpoint.dir, which all machines of the cluster share.  Where it is
+    unset, a session on one machine gets a folder of its own, removed when Python ends; on a cluster
+    there is no such folder to choose, so it is an error."""
+    conf = spark.sparkContext.getConf()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    master = conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all machines of the cluster share")
+    own = tempfile.mkdtemp(prefix="reportloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
+    return f"file://{own}"
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -36,15 +36,24 @@ def newest_per(files: DataFrame, key: str) -> DataFrame:
     return files.groupBy(key).agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
 
 
+GRAM = 3
+
+
 def routed(keywords: DataFrame, files: DataFrame, canonical: Column) -> DataFrame:
     """(project, name): of each project the file whose name contains one of its keywords, whatever
-    the case; canonically named files first, then by name; null where there is none.
+    the case; canonically named files first, then by name; null where there is none.  An empty
+    keyword is in no name.
 
-    ``keywords`` (project, keyword) is a dimension: Spark broadcasts it if it is small, and the
-    file list is scanned once.  The rank limit leaves one row per project and task.
+    A name that contains a keyword contains its first letters, so names and keywords are joined by
+    the groups of up to GRAM letters of the names and only those pairs are compared.  The rank
+    limit leaves one row per project and task.
     """
-    f = files.withColumn("_canonical", canonical)
-    hit = f.join(keywords, F.upper(f["name"]).contains(F.upper(keywords["keyword"]))).select("project", "name", "_canonical")
+    up = F.upper("name")
+    grams = lambda n: F.when(F.length(up) >= n, F.transform(F.sequence(F.lit(1), F.length(up) - (n - 1)), lambda i: F.substr(up, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    f = files.withColumn("_canonical", canonical).where("name is not null")
+    f = f.select("name", "_canonical", F.explode(F.array_distinct(F.concat(*map(grams, range(1, GRAM + 1))))).alias("_g"))
+    k = keywords.where("keyword <> ''").select("project", F.upper("keyword").alias("_k")).distinct().withColumn("_g", F.substring("_k", 1, GRAM))
+    hit = f.join(k, "_g").where(F.upper("name").contains(F.col("_k"))).select("project", "name", "_canonical")
     w = Window.partitionBy("project").orderBy(F.desc("_canonical"), "name")
     best = hit.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("project", "name")
     return keywords.select("project").distinct().join(best, "project", "left")
@@ -62,22 +71,38 @@ def sheet(spark: SparkSession, path: str, words: tuple[str, ...] = ("project", "
     """A delimited file whose header is somewhere in its first rows: the first of them in which two of
     the words occur, else the first.  Columns are named in lower case; of equal names the last counts."""
     raw = spark.read.option("header", "false").option("multiLine", "true").csv(path)
-    head = raw.limit(within).collect()  # at most ``within`` rows
-    hits = [sum(any(w in str(v or "").lower() for v in r) for w in words) for r in head]
+    columns = raw.columns
+    # a file of several lines to a row is one partition, so these ids follow its rows
+    numbered = raw.withColumn("_row", F.monotonically_increasing_id())
+    head = numbered.where(F.col("_row") < within).orderBy("_row").collect()  # at most ``within`` rows
+    hits = [sum(any(w in str(v or "").lower() for v in r[:-1]) for w in words) for r in head]
     at = next((k for k, n in enumerate(hits) if n >= 2), 0)
     names: dict[str, str] = {}
-    for column, v in zip(raw.columns, head[at] if head else (), strict=False):
+    for column, v in zip(columns, head[at] if head else (), strict=False):
         if v is not None and str(v).strip():
             names[str(v).strip().lower()] = column
-    skip = {tuple(r) for r in head[: at + 1]}
-    kept = raw
-    for r in skip:
-        same = F.lit(True)
-        for column, v in zip(raw.columns, r, strict=True):
-            same = same & F.col(column).eqNullSafe(F.lit(v))
-        kept = kept.where(~same)
-    blank = F.coalesce(*(F.col(c) for c in raw.columns)).isNull()
-    return kept.where(~blank).select(*(F.col(c).alias(n) for n, c in names.items()))
+    blank = F.coalesce(*(F.col(c) for c in columns)).isNull()
+    return numbered.where((F.col("_row") > at) & ~blank).select(*(F.col(c).alias(n) for n, c in names.items()))
+
+
+def report_json(reports: DataFrame) -> DataFrame:
+    """(week, year, date, project): the projects of report documents (text), one row each; a document
+    without a list of projects, or that is none, has no rows."""
+    schema = (
+        "week int, year int, date string, projects array<struct<id:string,name:string,type:string,contract:string,pdf_found:boolean,concerns:array<string>,"
+        "activities:array<string>,plan:double,actual:double,scopes:map<string,struct<plan:double,actual:double>>>>"
+    )
+    r = reports.select(F.from_json("text", schema).alias("r"))
+    return r.select("r.week", "r.year", "r.date", F.explode("r.projects").alias("project"))
+
+
+def filled_from(sheet: DataFrame, pages: DataFrame, key: str = "project_id", fields: tuple[str, ...] = ("plan", "actual", "scopes")) -> DataFrame:
+    """Sheet rows whose empty fields are filled from the pages' rows of the same key; what the sheet says
+    stays, and so do rows the pages do not have."""
+    other = pages.select(key, *(F.col(f).alias(f"_{f}") for f in fields))
+    kinds = dict(sheet.dtypes)
+    given = lambda f: F.when(F.size(f) > 0, F.col(f)) if kinds[f].startswith(("map", "array")) else F.when(~F.isnan(f), F.col(f)) if kinds[f] == "double" else F.col(f)
+    return sheet.join(other, key, "left").withColumns({f: F.coalesce(given(f), F.col(f"_{f}")) for f in fields}).drop(*(f"_{f}" for f in fields))
 
 
 def bound(df: DataFrame, **aliases: tuple[str, ...]) -> DataFrame:

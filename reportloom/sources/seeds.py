@@ -89,3 +89,38 @@ def history_of(pages: DataFrame, first: bool = True) -> DataFrame:
     order = F.asc if first else F.desc
     w = Window.partitionBy("key").orderBy(order("doc_id"), order("block_no"))
     return seed_blocks(pages).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "block_no")
+
+
+def scope_figures(value: str | None) -> dict[str, dict[str, float | None]]:
+    """Plan and actual of the scopes of a body, by name; what is nested deeper is not theirs."""
+    out = {}
+    for e in entries(value, 0)[0] if value and value.startswith("{") else []:
+        name, _, body = e.partition("': ")
+        fields = dict(x.split(":", 1) for x in entries(body.strip(), 0)[0] if ":" in x) if body.strip().startswith("{") else {}
+        fields = {k.strip(): v.strip() for k, v in fields.items()}
+        out[name.strip().lstrip("'").replace("\\'", "'").replace("\\\\", "\\")] = {f: _figure(fields.get(f)) for f in ("plan", "actual")}
+    return out
+
+
+REPORT = "project_id string, year int, week int, plan double, actual double, scopes map<string,struct<plan:double,actual:double>>"
+_KEY = re.compile(r"^(.*)_W(\d+)_(\d+)$")
+
+
+def report_of(pages: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
+    """(project_id, year, week, plan, actual, scopes) of the seed blocks of pages (doc_id, text), of the given
+    weeks (year, week) only; the last block of a key counts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, text in zip(b["doc_id"], b["text"], strict=True):
+                for n, (key, f) in enumerate(blocks(text or "")):
+                    if m := _KEY.match(key):
+                        rows.append((doc, n, m[1], int(m[3]), int(m[2]), _figure(f.get("plan")), _figure(f.get("actual")), scope_figures(f.get("scopes"))))
+            yield pd.DataFrame(rows, columns=["doc_id", "block_no", *(c.split()[0] for c in REPORT.split(", ")[:5]), "scopes"])
+
+    own = pages.select("doc_id", "text").mapInPandas(run, f"doc_id bigint, block_no int, {REPORT}")
+    if weeks is not None:
+        own = own.join(weeks.select("year", "week").distinct(), ["year", "week"], "left_semi")
+    w = Window.partitionBy("project_id", "year", "week").orderBy(F.desc("doc_id"), F.desc("block_no"))
+    return own.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("project_id", "year", "week", "plan", "actual", "scopes")

@@ -76,3 +76,20 @@ def dump(results: DataFrame, path: str) -> None:
 def merged_fixture(old: DataFrame, new: DataFrame) -> DataFrame:
     """A fixture with some projects recorded anew."""
     return old.join(new, "project_id", "left_anti").unionByName(new)
+
+
+def weeks_to_lists(rows: DataFrame, item: str) -> DataFrame:
+    """(weeks): one map of '<week>_<year>' to the ordered, distinct items of that week's rows."""
+    one = rows.groupBy(F.concat_ws("_", "week", "year").alias("key")).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    return one.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "items")))).alias("weeks"))
+
+
+def merged_weeks(old: Column, new: Column) -> Column:
+    """Two maps of weeks, the new one's entries in place of the old one's."""
+    kept = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
+    return F.map_from_entries(F.array_sort(F.concat(F.map_entries(kept), F.map_entries(new))))
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    """``df`` with ``version``, the time it was published."""
+    return df.withColumn("version", F.date_format(F.current_timestamp(), "yyyyMMddHHmmss"))

@@ -9,25 +9,25 @@ from reportloom.operators.history import write_weeks
 from reportloom.operators.profile import count_states
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def follow(spark: SparkSession, source: str, schema, target: str, checkpoint: str) -> None:
     """Upserts new history files into ``target``, a table partitioned by year and week, and ends when
     all have been read.  Only the weeks that a batch touches are rewritten; re-running a week, or
     a batch after a failure, leaves one row per project and week."""
     arriving = spark.readStream.schema(schema).parquet(source)
 
-    def upsert(batch: DataFrame, _: int) -> None:
+    def upsert(batch: DataFrame, number: int) -> None:
         rows = batch.where("project_id is not null and year is not null and week is not null")
-        try:
-            old = spark.read.schema(rows.schema).parquet(target)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = rows.limit(0)
+        old = spark.read.schema(rows.schema).parquet(target) if _exists(spark, target) else rows.limit(0)
         touched = rows.select("year", "week").distinct()
         both = rows.unionByName(old.join(touched, ["year", "week"], "left_semi"))
         newest = both.groupBy("project_id", "year", "week").agg(F.max_by(F.struct(*rows.columns), F.struct("recorded_at", "rec_id")).alias("r")).select("r.*")
         # the rows read are replaced, so they are written aside before
-        aside = f"{checkpoint}/aside"
+        aside = f"{checkpoint}/aside/{number}"
         newest.write.mode("overwrite").parquet(aside)
         write_weeks(spark.read.schema(rows.schema).parquet(aside), target)
 
