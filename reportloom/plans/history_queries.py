@@ -49,10 +49,6 @@ def _findings(s: SparkSession, d: str) -> DataFrame:
     return rules.findings(_ruled(s, d)).unionByName(below.join(_panel(s, d).select(*WEEK), list(WEEK), "left_semi"))
 
 
-def _pin(s: SparkSession, d: str, n: int) -> DataFrame:
-    return _t(s, d, "w32_2026").where(F.col("pin_no") == n)
-
-
 def rule(name: str):
     def run(s: SparkSession, d: str) -> DataFrame:
         return rules.findings(_ruled(s, d)).where(F.col("rule") == name).select("project_id", "year", "week", "subject")
@@ -83,12 +79,6 @@ def history_summary(s, d):
 
 
 def history_of_project(s, d):
-    first = F.min("project_id").alias("project_id")
-    h = _panel(s, d)
-    return h.join(h.select(first), "project_id", "left_semi").select("project_id", "year", "week", "plan", "actual").orderBy("year", "week")
-
-
-def history_of_projects(s, d):
     """The recorded weeks of every project, oldest first."""
     return _panel(s, d).select("project_id", "year", "week", "plan", "actual").orderBy("project_id", "year", "week")
 
@@ -164,14 +154,6 @@ def _ok(df: DataFrame) -> DataFrame:
 
 
 def summary_overlay(s, d):
-    """Scopes of week 32 by observation, overlaid with those of the first pin."""
-    obs = structure.tidy(_t(s, d, "obs_discipline")).where((F.col("year") == NOW[0]) & (F.col("week") == NOW[1]) & F.col("scope").isNotNull())
-    base = structure.weighted_overall(obs, ("project_id", "scope"))
-    top = _ok(structure.snapshot_scopes(_pin(s, d, 1))).select("project_id", "scope", "plan", "actual")
-    return structure.overlay(base, top, ["project_id", "scope"])
-
-
-def summary_overlay_pins(s, d):
     """Scopes of every week by observation, overlaid with those of each pin of the week in turn; weeks
     of a project without a pin have theirs once, with a null pin_no."""
     w, keys = _t(s, d, "w32_2026"), ["project_id", "year", "week"]
@@ -181,18 +163,10 @@ def summary_overlay_pins(s, d):
 
 
 def fixture_paths(s, d):
-    return structure.paths(_pin(s, d, 1), ["project_id"])
-
-
-def fixture_diff(s, d):
-    return structure.diff(structure.paths(_pin(s, d, 1), ["project_id"]), structure.paths(_pin(s, d, 4), ["project_id"]), ["project_id"])
-
-
-def fixture_paths_pins(s, d):
     return structure.paths(_t(s, d, "w32_2026"), ["project_id", "pin_no"])
 
 
-def fixture_diff_pins(s, d):
+def fixture_diff(s, d):
     """Each pin of a project against its next one."""
     return structure.diff_successive(_t(s, d, "w32_2026"), "project_id", "pin_no")
 
@@ -204,11 +178,6 @@ def variance_bands(s, d):
 
 
 def summary_rows(s, d):
-    """Project rows with their scope rows below, of the first pin."""
-    return _summary(_pin(s, d, 1), "project_id")
-
-
-def summary_rows_pins(s, d):
     """Project rows with their scope rows below, of every pin."""
     return _summary(_t(s, d, "w32_2026"), "project_id", "pin_no")
 
@@ -224,8 +193,10 @@ def _summary(pin: DataFrame, *keys: str) -> DataFrame:
 
 
 def concern_section(s, d):
-    w = _t(s, d, "w32_2026").select("snap_id", "project_id", text.split_items(F.col("first_concern")).alias("items")).where(F.size("items") > 0)
-    return w.select("snap_id", "project_id", F.posexplode("items").alias("ord", "item"))
+    """The concern and activity sections: items of every snapshot that has any, by field and position."""
+    field = lambda f, c: F.struct(F.lit(f).alias("field"), text.split_items(F.col(c)).alias("items"))
+    w = _t(s, d, "w32_2026").select("snap_id", "project_id", F.explode(F.array(field("concerns", "first_concern"), field("activities", "first_activity"))).alias("x"))
+    return w.select("snap_id", "project_id", "x.field", F.posexplode("x.items").alias("ord", "item"))
 
 
 def run_summary(s, d):
@@ -292,7 +263,6 @@ def queries() -> dict:
         findings_all, findings_counts, findings_by_project, findings_text, rule_scope_incomplete, rule_content_not_prose,
         discipline_rows, snapshot_discipline_rows, weighted_overall, summary_overlay, fixture_paths, fixture_diff,
         variance_bands, summary_rows, concern_section, run_summary, seed_round_trip, seed_first_wins,
-        fixture_paths_pins, fixture_diff_pins, summary_rows_pins, summary_overlay_pins, history_of_projects,
     )
     return {f.__name__: f for f in named} | {f"rule_{n.replace('-', '_')}": rule(n) for n in PANEL_RULES}
 
@@ -408,10 +378,6 @@ def _paths(pins: str, keys: str = "project_id") -> str:
     return f"{scal} union all {own} union all {scp} union all {nested}"
 
 
-def _pin_sql(pin: int) -> str:
-    return f"(select * from w32_2026 where pin_no = {pin})"
-
-
 def oracle_sql() -> dict[str, str]:
     d2 = "cast({0} as decimal(9,2))"
     inside = "case when {0} between 0 and 100 then {0} end"
@@ -421,8 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "history_upsert": _panel_sql(),
         "history_first_wins": _panel_sql(last=False),
         "history_summary": f"select count(*) as n_rows, count(distinct project_id) as n_projects, count(distinct year * 100 + week) as n_weeks, min(year * 100 + week) as first_week, max(year * 100 + week) as last_week from ({_panel_sql()})",
-        "history_of_project": f"select project_id, year, week, plan, actual from ({_panel_sql()}) where project_id = (select min(project_id) from history)",
-        "history_of_projects": f"select project_id, year, week, plan, actual from ({_panel_sql()})",
+        "history_of_project": f"select project_id, year, week, plan, actual from ({_panel_sql()})",
         "prev_week": f"with {_PREV} select project_id, year, week, plan, actual, prev_year, prev_week, prev_plan, prev_actual, prev_n_disc, prev_n_scopes from prev",
         "frozen_streak": f"with {_PREV} select project_id, year, week, cast(prev_streak as int) as prev_streak from prev",
         "report_due": f"with {_DUE} select project_id, cadence, last_year, last_week, elapsed, due from due",
@@ -458,32 +423,13 @@ from flagged group by snap_id, field having count(*) filter (junk) > 0""",
 )
 select snap_id, project_id, scope, e.key as discipline, {_CLEAN.format("e.value[1]")} as plan, {_CLEAN.format("e.value[2]")} as actual, {_CLEAN.format("e.value[3]")} as wf from d""",
         "weighted_overall": f"with {_TIDY} {_weighted('project_id, year, week, scope', 'tidy')}",
-        "summary_overlay": f"""with {_TIDY},
-base as ({_weighted("project_id, scope", "(select * from tidy where year = 2026 and week = 32 and scope is not null)")}),
-top as (select project_id, s.key as scope, {inside.format("s.value.plan")} as plan, {inside.format("s.value.actual")} as actual
-  from (select project_id, unnest(map_entries(scopes)) as s from w32_2026 where pin_no = 1))
-select coalesce(t.project_id, b.project_id) as project_id, coalesce(t.scope, b.scope) as scope, coalesce(t.plan, b.plan) as plan, coalesce(t.actual, b.actual) as actual,
-  case when t.scope is not null and b.scope is not null then 'both' when t.scope is not null then 'top' else 'base' end as source
-from base b full outer join top t on b.project_id = t.project_id and b.scope = t.scope""",
-        "fixture_paths": _paths(_pin_sql(1)),
-        "fixture_diff": f"""select * from (
-  select coalesce(a.project_id, b.project_id) as project_id, coalesce(a.path, b.path) as path, a.value as before, b.value as after,
-    case when b.path is null then 'absent' when a.path is null then 'new' else 'changed' end as status
-  from ({_paths(_pin_sql(1))}) a full outer join ({_paths(_pin_sql(4))}) b on a.project_id = b.project_id and a.path = b.path
-) where status <> 'changed' or before is distinct from after""",
         "variance_bands": f"""select project_id, year, week, coalesce(cast({d2.format(inside.format("plan"))} as varchar), '–') as plan_text,
   coalesce(cast({d2.format(inside.format("actual"))} as varchar), '–') as actual_text,
   coalesce(case when {var} >= 0 then '+' else '' end || cast({var} as varchar), '–') as variance_text, {band} as band from ({_panel_sql()})""",
-        "summary_rows": f"""with r as (
-  select project_id, 0 as row_no, cast(null as varchar) as scope, plan, actual, n_concerns as concerns, n_activities as activities from w32_2026 where pin_no = 1
-  union all
-  select project_id, cast(row_number() over (partition by project_id order by s.key) as int), s.key, s.value.plan, s.value.actual, null, null
-  from (select project_id, unnest(map_entries(scopes)) as s from w32_2026 where pin_no = 1)
-)
-select project_id, row_no, scope, {inside.format("plan")} as plan, {inside.format("actual")} as actual, concerns, activities, {band} as band from r""",
-        "concern_section": f"""with c as (select snap_id, project_id, list_filter(list_transform(string_split_regex(first_concern, '[\\n;]+'), lambda x: {_STRIP.format("x")}), lambda x: x <> '') as items
-  from w32_2026 where first_concern is not null and lower({_STRIP.format("first_concern")}) not in ('', '-', 'n/a', 'none'))
-select snap_id, project_id, cast(generate_subscripts(items, 1) - 1 as int) as ord, unnest(items) as item from c""",
+        "concern_section": f"""with f as (select snap_id, project_id, 'concerns' as field, first_concern as v from w32_2026 union all select snap_id, project_id, 'activities', first_activity from w32_2026),
+c as (select snap_id, project_id, field, list_filter(list_transform(string_split_regex(v, '[\\n;]+'), lambda x: {_STRIP.format("x")}), lambda x: x <> '') as items
+  from f where v is not null and lower({_STRIP.format("v")}) not in ('', '-', 'n/a', 'none'))
+select snap_id, project_id, field, cast(generate_subscripts(items, 1) - 1 as int) as ord, unnest(items) as item from c""",
         "run_summary": f"""with {_DUE},
 j as (select p.kind, p.project_id in (select project_id from panel where year = 2026 and week = 32) as found, d.due from dim_project p join due d on p.project_id = d.project_id)
 select kind, count(*) filter (found) as found, count(*) filter (not found and due) as missing, count(*) filter (not found and not due) as not_due from j group by kind""",
@@ -493,8 +439,8 @@ select kind, count(*) filter (found) as found, count(*) filter (not found and du
   cast(len(list_filter(string_split_regex(coalesce(first_concern, ''), '\\r?\\n'), lambda x: trim(x, ' ') <> '')) as int) as n_concerns,
   cast(len(list_filter(string_split_regex(coalesce(first_activity, ''), '\\r?\\n'), lambda x: trim(x, ' ') <> '')) as int) as n_activities from
   (select * replace ({_CLEAN.format("plan")} as plan, {_CLEAN.format("actual")} as actual) from w32_2026)""",
-        "fixture_paths_pins": _paths("w32_2026", "project_id, pin_no"),
-        "fixture_diff_pins": f"""with p as ({_paths("w32_2026", "project_id, pin_no")}),
+        "fixture_paths": _paths("w32_2026", "project_id, pin_no"),
+        "fixture_diff": f"""with p as ({_paths("w32_2026", "project_id, pin_no")}),
 steps as (select project_id, pin_no, lead(pin_no) over (partition by project_id order by pin_no) as next_pin from (select distinct project_id, pin_no from w32_2026)),
 a as (select p.*, s.next_pin from p join steps s on p.project_id = s.project_id and p.pin_no = s.pin_no where s.next_pin is not null),
 b as (select p.project_id, p.path, p.value, s.pin_no, s.next_pin from p join steps s on p.project_id = s.project_id and p.pin_no = s.next_pin)
@@ -504,14 +450,14 @@ select * from (
     case when b.path is null then 'absent' when a.path is null then 'new' else 'changed' end as status
   from a full outer join b on a.project_id = b.project_id and a.pin_no = b.pin_no and a.path = b.path
 ) where status <> 'changed' or before is distinct from after""",
-        "summary_rows_pins": f"""with r as (
+        "summary_rows": f"""with r as (
   select project_id, pin_no, 0 as row_no, cast(null as varchar) as scope, plan, actual, n_concerns as concerns, n_activities as activities from w32_2026
   union all
   select project_id, pin_no, cast(row_number() over (partition by project_id, pin_no order by s.key) as int), s.key, s.value.plan, s.value.actual, null, null
   from (select project_id, pin_no, unnest(map_entries(scopes)) as s from w32_2026)
 )
 select project_id, pin_no, row_no, scope, {inside.format("plan")} as plan, {inside.format("actual")} as actual, concerns, activities, {band} as band from r""",
-        "summary_overlay_pins": f"""with {_TIDY},
+        "summary_overlay": f"""with {_TIDY},
 base as (select o.project_id, o.year, o.week, k.pin_no, o.scope, o.plan, o.actual
   from ({_weighted("project_id, year, week, scope", "(select * from tidy where scope is not null)")}) o
   left join (select distinct project_id, year, week, pin_no from w32_2026) k on o.project_id = k.project_id and o.year = k.year and o.week = k.week),

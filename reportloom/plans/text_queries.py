@@ -104,8 +104,9 @@ def doc_concat(s, d):
 
 
 def split_items(s, d):
-    w = _t(s, d, "w32_2026")
-    return w.select("snap_id", F.explode(text.split_items(F.col("first_activity"))).alias("item"))
+    field = lambda c: F.struct(F.lit(c).alias("field"), text.split_items(F.col(c)).alias("items"))
+    w = _t(s, d, "w32_2026").select("snap_id", F.explode(F.array(field("first_concern"), field("first_activity"))).alias("x"))
+    return w.select("snap_id", "x.field", F.explode("x.items").alias("item"))
 
 
 def status_statements(s, d):
@@ -357,8 +358,11 @@ b as (select doc_id, cast(row_number() over (partition by doc_id order by at_) a
         "page_scope_case": f"select doc_id, case {scope} end as scope from documents where text is not null",
         "from_marker": f"select doc_id, cast(length({cut}) as int) as n, md5({cut}) as digest from documents where text is not null",
         "doc_concat": "select doc_id, md5(text) as digest from documents where text is not null",
-        "split_items": f"""select snap_id, unnest(list_filter(list_transform(string_split_regex(first_activity, '[\\n;]+'), lambda x: {_STRIP.format("x")}), lambda x: x <> '')) as item
-from w32_2026 where first_activity is not null and lower({_STRIP.format("first_activity")}) not in ('', '-', 'n/a', 'none')""",
+        "split_items": " union all ".join(
+            f"""select snap_id, '{c}' as field, unnest(list_filter(list_transform(string_split_regex({c}, '[\\n;]+'), lambda x: {_STRIP.format("x")}), lambda x: x <> '')) as item
+from w32_2026 where {c} is not null and lower({_STRIP.format(c)}) not in ('', '-', 'n/a', 'none')"""
+            for c in ("first_concern", "first_activity")
+        ),
         "status_statements": " union all ".join(_statements_sql(n) for n in READ),
         "status_round_trip": f"with {_FIG} "
         + " union all ".join(

@@ -242,6 +242,32 @@ def test_files(spark, tmp_path):
     assert isinstance(files.register_pages(spark), bool)
 
 
+def test_router_by_parts_of_words(spark):
+    """Keywords of any length, wherever they stand in a name; an empty one is in none."""
+    words = spark.createDataFrame([("P1", "a"), ("P2", "Ha"), ("P3", "lta"), ("P4", "alpha b"), ("P5", ""), ("P6", None), ("P7", "zz")], "project string, keyword string")
+    names = spark.createDataFrame([("ALPHA beta",), ("delta",), ("x",), (None,)], "name string")
+    got = files.routed(words, names, F.col("name") == "delta")
+    assert {(r.project, r.name) for r in got.collect()} == {("P1", "delta"), ("P2", "ALPHA beta"), ("P3", "delta"), ("P4", "ALPHA beta"), ("P5", None), ("P6", None), ("P7", None)}
+
+
+def test_sheet_keeps_rows_like_its_header(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("Title,,\nProject ID,Project Name,Note\nA,Alpha,x\nProject ID,Project Name,Note\nTitle,,\n")
+    got = files.sheet(spark, str(tmp_path / "s.csv"))
+    assert [r["project id"] for r in got.collect()] == ["A", "Project ID", "Title"]
+
+
+def test_report_documents_and_weeks(spark):
+    r = files.report_json(spark.createDataFrame([('{"week": 3, "year": 2026, "projects": [{"id": "A", "plan": 1.5, "scopes": {"x": {"plan": 2, "actual": null}}}]}',), ('{"week": 4}',), ("no json",), (None,)], "text string")).collect()
+    assert [(x.week, x.project.id, x.project.plan, x.project.scopes["x"].plan) for x in r] == [(3, "A", 1.5, 2.0)]
+    rows = spark.createDataFrame([("B", 2026, 1), ("A", 2026, 1), ("A", 2026, 1), ("C", 2025, 52)], "id string, year int, week int")
+    weeks = sinks.weeks_to_lists(rows, "id")
+    assert weeks.first().weeks == {"1_2026": ["A", "B"], "52_2025": ["C"]}
+    new = weeks.select(sinks.merged_weeks(F.col("weeks"), F.create_map(F.lit("1_2026"), F.array(F.lit("Z")))).alias("m")).first().m
+    assert new == {"1_2026": ["Z"], "52_2025": ["C"]} and len(sinks.stamped(rows).first().version) == 14
+    body = "{ 'it\\'s': { plan: 1.5, actual: null, disciplines: { 'E': { plan: 9, actual: 9 } } }, 'b': { plan: 2, actual: 3 } }"
+    assert seeds.scope_figures(body) == {"it's": {"plan": 1.5, "actual": None}, "b": {"plan": 2.0, "actual": 3.0}} and seeds.scope_figures(None) == {}
+
+
 def test_sinks(spark, tmp_path):
     r = spark.createDataFrame([("B", False, None, None, None, None), ("A", True, 1.0, 2.0, ["x", "y"], [])], "project_id string, found boolean, plan double, actual double, concerns array<string>, activities array<string>")
     assert [(x.project_id, x.found, x.concerns) for x in sinks.sheet_rows(r).collect()] == [("A", "YES", "x\ny"), ("B", "NO", "")]
