@@ -161,7 +161,7 @@ res as (
   from usual u left join steps s on u.project_id = s.project_id and u.field = s.field
 ),
 high as (select *, quantile_cont(residual, 0.8) over o as u, count(*) over o as n_all from res window o as (partition by project_id, field)),
-exc as (select *, case when residual > u then greatest(least(residual, bound / 2) - u, 0.0) end as e from high),
+exc as (select *, case when round(residual - u, 9) > 0 then greatest(least(residual, bound / 2) - u, 0.0) end as e from high),
 fit as (select *, avg(e) over o as m, var_pop(e) over o as s2, count(e) over o as nu from exc window o as (partition by project_id, field)),
 shaped as (select *, 0.5 * (1 - m * m / s2) as shape, 0.5 * m * (m * m / s2 + 1) as scale, {spikes.RISK} * n_all / nu as odds from fit),
 cut as (
