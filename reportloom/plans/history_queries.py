@@ -327,7 +327,8 @@ elapsed as (
 ),
 due as (select e.*, e.cadence = 'weekly' or elapsed is null or elapsed >= coalesce(grace_weeks, 1) as due from elapsed e left join dim_cadence c on e.cadence = c.cadence)"""
 _STRIP = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
-LABELS = text.COLUMN_LABELS
+# Fixed values, written out again for the SQL.
+LABELS = r"(?i)\b(description|remark|status|root cause|doc no|issue date|plan|actual|total|accum|discipline|week|target|action by)\b"
 
 
 def table_like(line: str) -> str:

@@ -252,13 +252,35 @@ def queries() -> dict:
     return {f.__name__: f for f in named}
 
 
+# Fixed values, written out again: the SQL does not take the patterns of the readers it is held against.
+_N = r"(\d{1,3}(?:\.\d{1,2})?)"
+_SAID = {
+    "row_pair": ("label plan actual", rf"(?i)(engineer|procure|construct|commission|overall)\w*\s+{_N}\s+{_N}"),
+    "callout": ("plan actual", rf"(?i)plan\s*/\s*actual\s*:?[\s\S]{{0,20}}?{_N}\s*%\s*/\s*{_N}\s*%"),
+    "stands_at": ("label actual plan", rf"(?i)(overall|engineering|procurement|construction)\s+(?:project\s+)?progress\s+stands\s+at\s*{_N}\s*%\s+against\s+the\s+planned\s+progress\s+of\s*{_N}\s*%"),
+    "compared": ("label actual plan", rf"(?i)(overall|engineering|procurement|construction|civil|electrical)\s+(?:project\s+|pre-civil\s+|construction\s+|work\s+)?progress\s+{_N}\s*%\s+compared\s+to\s+plan\s+at\s+{_N}\s*%"),
+    "summary": ("label actual plan", rf"(?i)(overall|construction|commissioning|civil|electrical|engineering|procurement)\s*progress\s*(?:is\s+)?{_N}\s*%\s*(?:/\s*plan\s*at|vs\s+plan|against\s+plan)\s*{_N}\s*%"),
+    "plan_then_actual": ("label plan actual", rf"(?i)(overall\s+project|construction)\s+progress\s*[\r\n]+\s*-\s*plan\s*=\s*{_N}\s*%\s*[\r\n]+\s*-\s*actual\s*=\s*{_N}\s*%"),
+    "actual_then_plan": ("actual plan", rf"(?i)overall\s+progress\s+actual\s*=\s*{_N}\s*%,?\s*[\r\n]+\s*-?\s*overall\s+progress\s+plan\s*=\s*{_N}\s*%"),
+    "newline_plan": ("label actual plan", rf"(?i)(overall|construction)\s+progress\s*\n?\s*(?:actual\s*)?{_N}\s*%\s*\n\s*plan\s*{_N}\s*%"),
+    "delta": ("label actual direction delta", rf"(?i)(construction|overall)\s+progress\s*=\s*{_N}\s*%\s*(delayed|ahead)\s*{_N}\s*%"),
+    "inline": ("actual plan", rf"(?i)progress\s*{_N}\s*%\s*\(\s*plan\s*{_N}\s*%"),
+    "signed_delta": ("actual signed", r"(?i)progress\s*(\d{1,3}(?:\.\d{1,2})?)\s*%\s*\([^,]*,\s*(-?\d{1,3}(?:\.\d{1,2})?)\s*%\)"),
+    "table_row": ("label plan actual", rf"(?im)^(engineering|procurement|construction|commissioning|overall)\s+{_N}\s*%\s+{_N}\s*%"),
+    "pair": ("plan actual", rf"(?i)plan/actual\s*[：:]\s*{_N}%\s*/\s*{_N}%"),
+    "cumulative_planned": ("plan", r"(?im)cum\.?\s*progress\s*[-–]\s*planned[^\n]*?(\d{1,3}\.\d{2})%\s*$"),
+    "cumulative_actual": ("actual", r"(?im)cum\.?\s*progress\s*[-–]\s*actual[^\n]*?(\d{1,3}\.\d{2})%\s*$"),
+    "physical": ("plan actual", rf"(?i)physical\s+progress.*?{_N}%.*?{_N}%"),
+    "drawn_planned": ("plan", rf"(?i)(?:accumulative\s+)?planned\s+progress\s*(?:up\s+to[^=\n]*)?=\s*{_N}\s*%"),
+    "drawn_actual": ("actual", rf"(?i)(?:accumulative\s+)?achie?ved\s+progress\s*(?:up\s+to[^=\n]*)?=\s*{_N}\s*%"),
+}
 _LINES = """ls as (select doc_id, doc_type, string_split(text, chr(10)) as l from documents where text is not null),
 raw as (select doc_id, doc_type, cast(generate_subscripts(l, 1) - 1 as int) as line_no, unnest(l) as line from ls),
 lines as (select *, regexp_replace(line, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') as s from raw)"""
 _STRIP = "regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
-_BARE = _STRIP.format(f"regexp_replace(s, '{text.NUMBERED_BULLET}', '')")
+_BARE = _STRIP.format(f"regexp_replace(s, '^[\\-•*\\d]+[.)]\\s*', '')")
 _TOK = r"list_filter(string_split_regex(s, '[\s\p{Z}]+'), lambda t: t <> '')"
-_NUMS = f"len(list_filter({_TOK}, lambda t: regexp_matches(t, '{text.NUMBER_TOKEN}')))"
+_NUMS = f"len(list_filter({_TOK}, lambda t: regexp_matches(t, '^[\\d.,%()+\\-]+$')))"
 _GRID = r"""rows_ as (select doc_id, string_split_regex(text, '\r?\n') as l from documents where text is not null),
 flat as (select doc_id, cast(generate_subscripts(l, 1) - 1 as int) as row_no, unnest(l) as line from rows_),
 grid as (select doc_id, row_no, string_split(line, chr(9)) as cells from flat where contains(line, chr(9)))"""
@@ -275,23 +297,22 @@ def _numbers(x: str) -> str:
 
 
 def _clean_where(bare: str = _BARE) -> str:
-    return f"s <> '' and not regexp_matches(s, '^\\d+\\s*$') and not regexp_matches(s, '{text.SKIP_LINE}') and length(s) >= 8 and {bare} <> ''"
+    return f"s <> '' and not regexp_matches(s, '^\\d+\\s*$') and not regexp_matches(s, '(?i)^(action|table of content|page|note:|concern to achieve|next milestone)') and length(s) >= 8 and {bare} <> ''"
 
 
 def _statements_sql(name: str) -> str:
-    g = grammar.GRAMMARS[name]
-    cols = {x: f"unnest(regexp_extract_all(text, '{g.pattern}', {k + 1}))" for k, x in enumerate(g.groups)}
-    part = ", ".join(f"{v} as {k}_" for k, v in cols.items())
-    label = "regexp_replace(lower(label_), '\\s+project$', '')" if "label" in g.groups else "'overall'"
+    groups, pattern = _SAID[name][0].split(), _SAID[name][1]
+    part = ", ".join(f"unnest(regexp_extract_all(text, '{pattern}', {k + 1})) as {x}_" for k, x in enumerate(groups))
+    label = "regexp_replace(lower(label_), '\\s+project$', '')" if "label" in groups else "'overall'"
     dec = "cast({0} as decimal(9,2))"
-    plan, actual = ("cast(plan_ as double)" if "plan" in g.groups else "null"), ("cast(actual_ as double)" if "actual" in g.groups else "null")
-    if "delta" in g.groups:
+    plan, actual = ("cast(plan_ as double)" if "plan" in groups else "null"), ("cast(actual_ as double)" if "actual" in groups else "null")
+    if "delta" in groups:
         plan = f"cast(case when lower(direction_) = 'delayed' then {dec.format('actual_')} + {dec.format('delta_')} else {dec.format('actual_')} - {dec.format('delta_')} end as double)"
-    if "signed" in g.groups:
+    if "signed" in groups:
         plan = f"cast({dec.format('actual_')} - {dec.format('signed_')} as double)"
     ok = lambda e: f"case when {e} between 0 and 100 then {e} end" if e != "null" else "cast(null as double)"
     return f"""select doc_id, '{name}' as grammar, cast(n as int) as match_no, {label} as label, {ok(plan)} as plan, {ok(actual)} as actual from (
-  select doc_id, {part}, generate_subscripts(regexp_extract_all(text, '{g.pattern}', 1), 1) as n from documents where text is not null)"""
+  select doc_id, {part}, generate_subscripts(regexp_extract_all(text, '{pattern}', 1), 1) as n from documents where text is not null)"""
 
 
 _FIG = """fig as (select project_id, year, week, scope, discipline, cast(plan as decimal(9,2)) as plan, cast(actual as decimal(9,2)) as actual
@@ -305,8 +326,8 @@ def _wins_sql(o: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    has = {n: g.groups for n, g in grammar.GRAMMARS.items()}
-    start = lines.ITEM_START
+    has = {n: g.split() for n, (g, _) in _SAID.items()}
+    start = r"^(?:\d+[.)]|[-–•▪*☐✔])\s*"
     first_line = "string_split(text, chr(10))[1]"
     scope = " ".join(f"when regexp_matches({first_line}, '{p}') then '{n}'" for n, p in SCOPES)
     cut = "coalesce(nullif(regexp_extract(text, '(?is)action.*'), ''), text)"
@@ -331,7 +352,7 @@ a as (select *, regexp_matches(s, '{start}') as opens from lines where s <> ''),
 b as (select *, cast(sum(case when opens then 1 else 0 end) over (partition by doc_id order by line_no) as int) as item_no from a),
 c as (select doc_id, item_no, string_agg(case when opens then {_STRIP.format(f"regexp_replace(s, '{start}', '')")} else s end, ' ' order by line_no) as item from b group by 1, 2)
 select * from c where item <> ''""",
-        "numbered_items": f"""with {_LINES}, a as (select doc_id, line_no, {_STRIP.format(f"regexp_replace(s, '{lines.NUMBER_START}', '')")} as item from lines where regexp_matches(s, '{lines.NUMBER_START}'))
+        "numbered_items": f"""with {_LINES}, a as (select doc_id, line_no, {_STRIP.format(f"regexp_replace(s, '^\\d+[.)]\\s*', '')")} as item from lines where regexp_matches(s, '^\\d+[.)]\\s*'))
 select * from a where length(item) > 5""",
         "carry_forward_heading": f"""with {_LINES}, a as (select *, nullif(regexp_extract(line, '{MINUTE}', 1), '') as h from lines),
 b as (select *, last_value(h ignore nulls) over (partition by doc_id order by line_no) as heading from a)
@@ -339,7 +360,7 @@ select doc_id, line_no, heading, s as line from b where h is null""",
         "heading_items": f"""with {_LINES},
 a as (select *, regexp_matches(s, '{MINUTE_ITEM}') as opens from lines),
 b as (select *, sum(case when opens then 1 else 0 end) over (partition by doc_id order by line_no) as k from a),
-c as (select * from b where k > 0 and (opens or (s <> '' and not regexp_matches(s, '{lines.CJK}') and regexp_matches(s, '[A-Za-z]{{3}}') and not regexp_matches(s, '{FURNITURE}')))),
+c as (select * from b where k > 0 and (opens or (s <> '' and not regexp_matches(s, '[　-鿿＀-￯]') and regexp_matches(s, '[A-Za-z]{{3}}') and not regexp_matches(s, '{FURNITURE}')))),
 d as (select *, not opens and regexp_matches(s, '^[-–•‑]') as dash from c),
 e as (select *, bool_or(dash) over (partition by doc_id, k order by line_no) as seen from d),
 f as (select *, not opens and not seen as lead_ from e),
