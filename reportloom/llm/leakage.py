@@ -9,19 +9,17 @@ the paired share of the item decides.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportloom.llm.lookalike import prototypes
+from reportloom.llm.lookalike import in_parts, unmarked
 
 #: 1: the word counts, 0: any word may stand there.  All have weight 4.
 MASKS = ("1111", "110011", "1010101", "11000101", "100110001")
@@ -37,19 +35,12 @@ BLOCK_CHARS = 4_000_000
 
 _MASK_AT = [[k for k, c in enumerate(m) if c == "1"] for m in MASKS]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_MARK = regex.compile(r"\p{Mn}+")
 _CONTROL = "[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]|\\x00"
 _NO_WORD = r"[^\p{L}\p{N}]+"
 FOUND_SCHEMA = "doc_id bigint, item_id bigint, words int, item_words int, share double, pieces int"
 _FOUND_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32())
 
 
-def folded(text: str) -> str:
-    """Look-alike letters as their prototypes, accents and marks dropped."""
-    s = unicodedata.normalize("NFD", text).translate(prototypes())
-    return _MARK.sub("", unicodedata.normalize("NFKD", s))
-
-
 def tokenized(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """(lower-case words of all texts, offset of each text): one consistent form, letters and digits
     only.  Plain texts take no step in Python; a null text has no word."""
@@ -59,7 +50,7 @@ def tokenized(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     if len(odd):
         on = np.zeros(len(texts), bool)
         on[odd] = True
-        texts = pc.replace_with_mask(texts, pa.array(on), pa.array([folded(t) for t in texts.take(pa.array(odd)).to_pylist()], texts.type))
+        texts = pc.replace_with_mask(texts, pa.array(on), pa.array(in_parts(texts.take(pa.array(odd)).to_pylist(), unmarked), texts.type))
     parts = pc.split_pattern_regex(pc.utf8_lower(texts), _NO_WORD)
     flat = parts.flatten()
     some = pc.not_equal(flat, "")

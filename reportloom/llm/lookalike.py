@@ -12,8 +12,10 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,9 +109,73 @@ def skeleton(text: str | None) -> str | None:
     return _LINE_END.sub("\n", text).strip("\t\n\r ")
 
 
+#: Parts the texts of a batch while they are folded together; no character, so in no proper text.
+_PART = "\ufdd0"
+_GONE = 0xFFFFFFFF
+
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: the prototype (itself where there is none, _GONE where it is dropped), whether the
+    prototype has several characters, and whether the character is a mark without width."""
+    to = np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    several = np.zeros(len(to), bool)
+    for cp, s in prototypes().items():
+        to[cp] = ord(s) if len(s) == 1 else _GONE
+        several[cp] = len(s) > 1
+    mark = np.fromiter((unicodedata.category(chr(cp)) == "Mn" for cp in range(len(to))), bool, len(to))
+    return to, several, mark
+
+
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _string(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _decomposed(joined: str) -> str:
+    """Decomposition, prototypes and decomposition again of joined texts, by table."""
+    s = unicodedata.normalize("NFD", joined)
+    if "‍" in s:
+        s = _EMOJI_JOIN.sub("", s)
+    to, several, _ = _tables()
+    codes = _codes(s)
+    if several[codes].any():
+        for cp in np.unique(codes[several[codes]]).tolist():
+            s = s.replace(chr(cp), prototypes()[cp])
+        codes = _codes(s)
+    codes = to[codes]
+    return unicodedata.normalize("NFD", _string(codes[codes != _GONE]))
+
+
+def unmarked(joined: str) -> str:
+    """Joined texts with prototypes for look-alikes and without marks."""
+    codes = _codes(unicodedata.normalize("NFKD", _decomposed(joined)))
+    return _string(codes[~_tables()[2][codes]])
+
+
+def in_parts(texts: list[str], fold: Callable[[str], str]) -> list[str]:
+    """``fold`` of texts joined to one string; texts that hold the parting character go one by one."""
+    joined = _PART.join(texts)
+    if joined.count(_PART) != max(len(texts) - 1, 0):
+        return [fold(t) for t in texts]
+    return fold(joined).split(_PART) if texts else []
+
+
+def skeletons(texts: list[str | None]) -> list[str | None]:
+    """skeleton of every text of a batch."""
+    known = [k for k, t in enumerate(texts) if t is not None]
+    out: list[str | None] = [None] * len(texts)
+    for k, s in zip(known, in_parts([texts[k] for k in known], _decomposed), strict=True):
+        out[k] = (_LINE_END.sub("\n", s) if "\r" in s or " \n" in s or "\t\n" in s else s).strip("\t\n\r ")
+    return out
+
+
 @F.pandas_udf(T.StringType())
 def skeleton_udf(texts: pd.Series) -> pd.Series:
-    return pd.Series([skeleton(t) for t in texts], dtype=object)
+    return pd.Series(skeletons([t if isinstance(t, str) else None for t in texts]), dtype=object)
 
 
 def skeleton_of(text: Column) -> Column:

@@ -122,6 +122,16 @@ def test_plain_texts_have_the_same_form(spark):
     assert got == {k: lookalike.skeleton(t) for k, t in enumerate(PLAIN)}
 
 
+def test_batches_equal_single_texts(spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    rng = random.Random(7)
+    texts += ["".join(chr(rng.choice((rng.randrange(32, 0x250), rng.randrange(0x300, 0x600), rng.randrange(0x1D00, 0x3000), rng.randrange(0xFB00, 0xFE10), rng.randrange(0x1F000, 0x1FAFF), 10, 13, 0x200D))) for _ in range(60)) for _ in range(400)]
+    texts += ["a\ufdd0b \n", "", None, "\ufdd0"]
+    assert lookalike.skeletons(texts) == [lookalike.skeleton(t) for t in texts]
+    assert lookalike.skeletons([t for t in texts if t is None or "\ufdd0" not in t]) == [lookalike.skeleton(t) for t in texts if t is None or "\ufdd0" not in t]
+    assert lookalike.skeletons([]) == []
+
+
 # --- problem 6 -------------------------------------------------------------------------------
 
 
