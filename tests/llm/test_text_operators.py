@@ -214,6 +214,7 @@ def _texts(spark):
     add(around([]))
     add(around(items[8]) + " " + around(items[9]), 8)
     want.add((len(cases) - 1, 9))
+    add(around([w[:1] + "\u200d\u200b" + w[1:] + "\u0301" for w in items[10]]), 10)  # characters without width inside the words
     cases += [None, "", " "]
     d = docs(spark, *cases)
     i = spark.createDataFrame([(k, "s", " ".join(w)) for k, w in enumerate(items)] + [(99, "s", None), (98, "s", ""), (97, None, "w1 w2 w3")], "item_id bigint, suite string, text string")
