@@ -385,6 +385,29 @@ def test_structure(spark):
     assert [r[0] for r in d.select(structure.discipline(F.col("x"))).collect()] == ["Engineering", "Construction", "Procurement", "Tie-in Works"]
 
 
+def test_folder_of_intermediate_tables(spark, tmp_path):
+    """The session's own setting counts; on a cluster without one there is nothing to choose."""
+    from reportloom import session as own
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+        def set(self, key, value):
+            self[key] = value
+
+    def fake(master, **settings):
+        context = type("Context", (), {"getConf": lambda _: Conf({"spark.master": master})})()
+        return type("Session", (), {"conf": Conf(settings), "sparkContext": context})()
+
+    assert own.shared_folder(fake("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://x/shared"})) == "hdfs://x/shared"
+    assert own.shared_folder(fake("local[4]")).startswith("file:///")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        own.shared_folder(fake("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="share"):
+        own.shared_folder(fake("local-cluster[3,2,1024]"))
+
+
 def test_empty_tables(spark, sf, tmp_path):
     """Every query over empty tables ends and gives no rows, or one row of counts."""
     for f in os.listdir(sf):
