@@ -429,9 +429,9 @@ def test_every_pin_is_diffed(spark, sf):
     text_ = [None if v != v or v is None else f"{v:.2f}" for v in w.plan]
     steps = zip(w.project_id, w.pin_no, text_, w.project_id[1:], w.pin_no[1:], text_[1:], strict=False)
     want = {(p, a, b, x, y) for p, a, x, q, b, y in steps if p == q and x != y}
-    done = history_queries.queries()["fixture_diff_pins"](spark, sf).where("path = 'plan'")
+    done = history_queries.queries()["fixture_diff"](spark, sf).where("path = 'plan'")
     assert want and {tuple(r) for r in done.select("project_id", "pin_no", "next_pin", "before", "after").collect()} == want
-    for name in ("fixture_paths_pins", "summary_rows_pins"):
+    for name in ("fixture_paths", "summary_rows"):
         assert history_queries.queries()[name](spark, sf).select("project_id", "pin_no").distinct().count() == len(w)
 
 
@@ -445,5 +445,5 @@ def test_figures_of_a_very_long_line(spark):
 def test_history_of_every_project_is_in_order(spark, sf):
     h = pd.read_parquet(f"{sf}/history.parquet").dropna(subset=["project_id", "year", "week"])
     want = sorted({(p, int(y), int(w)) for p, y, w in zip(h.project_id, h.year, h.week, strict=True)})
-    got = history_queries.queries()["history_of_projects"](spark, sf).select("project_id", "year", "week").collect()
+    got = history_queries.queries()["history_of_project"](spark, sf).select("project_id", "year", "week").collect()
     assert [tuple(r) for r in got] == want
