@@ -85,10 +85,25 @@ def fields(banded: DataFrame) -> DataFrame:
     return f.select("doc_id", "page_no", "anchor", "field_no", F.trim(F.array_join(F.transform("c", lambda x: x["text"]), "")).alias("field"))
 
 
-def matrix(chars: DataFrame) -> DataFrame:
+# The letter-spaced heading of an area table, and how far its columns reach left of it.
+MATRIX_HEAD = r"(?i)A\s*r\s*e\s*a\s+D\s*i\s*s\s*c"
+HEAD_SLACK, HEAD_HEIGHT = 20.0, 2.0
+
+
+def below_heading(chars: DataFrame, words: DataFrame, heading: str = MATRIX_HEAD) -> DataFrame:
+    """The characters below, and not left of, the first visual line of their page that matches; pages
+    without such a line have none."""
+    hit = page_lines(words).where(F.col("text").rlike(heading))
+    head = hit.groupBy("doc_id", "page_no").agg(F.min(F.struct("top", "x0")).alias("h")).select("doc_id", "page_no", F.col("h.top").alias("_top"), F.col("h.x0").alias("_x"))
+    j = chars.join(head, ["doc_id", "page_no"])
+    return j.where((F.col("x0") >= F.col("_x") - HEAD_SLACK) & (F.col("top") > F.col("_top") + HEAD_HEIGHT)).drop("_top", "_x")
+
+
+def matrix(chars: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """(doc_id, page_no, discipline, weight, plan, actual): rows of a letter-spaced table that name a
-    discipline and hold four figures whose variance agrees; the last row of a discipline wins."""
-    f = fields(bands(chars))
+    discipline and hold four figures whose variance agrees; the last row of a discipline wins.  With
+    ``words`` only what stands below the table's heading is read."""
+    f = fields(bands(chars if words is None else below_heading(chars, words)))
     n = is_number(F.col("field"))
     r = f.groupBy("doc_id", "page_no", "anchor").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~n, F.struct("field_no", "field")))), lambda x: x["field"]), " ").alias("label"),

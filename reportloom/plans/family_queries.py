@@ -137,9 +137,9 @@ def _solar_cell() -> Column:
 
 
 def _solar_cells(s, d) -> DataFrame:
-    p, rows = _summary_tables(s, d, _solar_cell(), "Topic Plant GUE", "Executive summary")
-    known = F.when(~F.col("header").isin("-", "topic plant gue"), F.initcap("header"))
-    return progress.summary_cells(p, rows, "gue", "siteprogress", known, *progress.SOLAR_SUMMARY)
+    p, rows = _summary_tables(s, d, _solar_cell(), "Topic Plant", "Executive summary")
+    known = F.when(~F.col("header").isin("-", "topic plant"), F.initcap("header"))
+    return progress.summary_cells(p, rows, "topic plant", "siteprogress", known, *progress.SOLAR_SUMMARY)
 
 
 def ext_solar_summary(s, d):
@@ -171,11 +171,11 @@ def _wind_cell() -> Column:
 
 def ext_wind_summary(s, d):
     """Summary cells in six wordings, by week; both titles must be on the page."""
-    p, rows = _summary_tables(s, d, _wind_cell(), "Topic Plant TSA", "Executive summary\nSite progress")
+    p, rows = _summary_tables(s, d, _wind_cell(), "Topic Plant", "Executive summary\nSite progress")
     more = p.where("page_no = 1").select("doc_id", F.lit(3).alias("page_no"), F.lit("Site progress only").alias("text"))
-    known = F.when(~F.col("header").isin("-", "topic plant tsa"), F.initcap("header"))
+    known = F.when(~F.col("header").isin("-", "topic plant"), F.initcap("header"))
     decoy = rows.withColumns({"page_no": F.lit(3), "cells": F.transform("cells", lambda c: F.when(c.contains("rogress "), "Progress 1% (plan 2%, 0%)").otherwise(c))})
-    return progress.wind_summary(progress.summary_cells(p.unionByName(more), rows.unionByName(decoy), "tsa", "siteprogress", known, *progress.WIND_SUMMARY))
+    return progress.wind_summary(progress.summary_cells(p.unionByName(more), rows.unionByName(decoy), "topic plant", "siteprogress", known, *progress.WIND_SUMMARY))
 
 
 def ext_scope_curves(s, d):
@@ -284,6 +284,26 @@ def ext_content_policy(s, d):
     return progress.content(generic, own).select("doc_id", "field", F.size("items").alias("n"), F.md5(F.encode(F.array_join("items", "\n"), "utf-8")).alias("digest"))
 
 
+def ext_header_items(s, d):
+    """Summary rows of snapshots, a column for each text and one headed 'topic', folded to items."""
+    w = _t(s, d, "w32_2026")
+    cell = lambda n, header, c: F.struct(F.lit(n).alias("col_no"), F.lit(header).alias("header"), F.col(c).alias("value"))
+    cells = F.explode(F.array(cell(0, "Topic", "first_concern"), cell(1, "Concern", "first_concern"), cell(2, "Activity", "first_activity"))).alias("x")
+    return content.header_items(w.select(F.col("snap_id").alias("doc_id"), cells).select("doc_id", "x.*").where("value is not null"))
+
+
+def ext_look_ahead(s, d):
+    """Visual lines of a column: other fields, the look-ahead with the activity's lines as bullets, and a
+    field that ends it; snapshots without an activity have no such field."""
+    w = _t(s, d, "w32_2026")
+    activity = F.transform(F.filter(F.split("first_activity", "\n"), lambda x: F.trim(x).rlike("^[A-Za-z][a-z]{2}")), lambda x: F.concat(F.lit("• "), x))
+    body = F.when(F.col("first_activity").isNotNull(), F.concat(F.array(F.lit("Key look ahead milestones:")), activity, F.array(F.lit("Manpower 12"), F.lit("• not in the field"))))
+    lines_ = F.concat(F.array(F.lit("Executive summary"), F.lit("• before the field")), F.coalesce(body, F.array().cast("array<string>")))
+    column = w.select(F.col("snap_id").alias("doc_id"), F.lit(2).alias("page_no"), F.posexplode(lines_).alias("n", "text")).select("doc_id", "page_no", (F.col("n") * 10.0).alias("top"), F.lit(300.0).alias("x0"), "text")
+    got = content.field(column, content.LOOK_AHEAD, content.NEXT_FIELD, least_head=10)
+    return got.select("doc_id", "found", "cross_reference", F.size("items").alias("n"))
+
+
 def ext_history_rows(s, d):
     """Snapshots as results, summarised to what history keeps."""
     w = _t(s, d, "w32_2026")
@@ -297,7 +317,7 @@ def ext_history_rows(s, d):
 def queries() -> dict:
     named = (
         ext_weekly_table, ext_overall_row, ext_section_curves, ext_solar_summary, ext_scope_statements, ext_wind_summary, ext_scope_curves, ext_whole_document, ext_physical, ext_dispatched,
-        ext_generic_concerns, ext_generic_activities, ext_numbered_concerns, ext_numbered_first_lines, ext_planned_rows, ext_work_rows, ext_content_policy, ext_history_rows,
+        ext_generic_concerns, ext_generic_activities, ext_numbered_concerns, ext_numbered_first_lines, ext_planned_rows, ext_work_rows, ext_content_policy, ext_header_items, ext_look_ahead, ext_history_rows,
     )
     return {f.__name__: f for f in named}
 
@@ -419,6 +439,17 @@ j as (select doc_id, field, list_slice(case
   when k = 'hydro_drawn' and field = 'concerns' then o when k = 'wte' or (k in ('wind', 'terminal', 'hydro_printed') and field = 'concerns') then case when found then o else g end
   when k in ('solar_listed', 'wind', 'terminal', 'hydro_printed', 'hydro_drawn') or (k = 'solar' and field = 'activities') then case when len(o) > 0 then o else g end else g end, 1, 20) as items from f)
 select doc_id, field, cast(len(items) as int) as n, md5(coalesce(list_aggregate(items, 'string_agg', chr(10)), '')) as digest from j""",
+        "ext_header_items": f"""with c as (select snap_id as doc_id, 1 as col_no, 'Concern' as header, first_concern as v from w32_2026 where first_concern is not null union all select snap_id, 2, 'Activity', first_activity from w32_2026 where first_activity is not null),
+ls as (select *, string_split(v, chr(10)) as l from c), raw as (select doc_id, col_no, header, generate_subscripts(l, 1) as line_no, {_S.format("unnest(l)")} as s from ls),
+a as (select *, regexp_matches(s, '^[•▪□❑❏➢○◦*-]\\s*') as opens from raw where s <> ''),
+b as (select *, sum(case when opens then 1 else 0 end) over (partition by doc_id, col_no, header order by line_no) as item_no from a),
+g as (select doc_id, col_no, header, item_no, string_agg(case when opens then {_S.format("regexp_replace(s, '^[•▪□❑❏➢○◦*-]\\s*', '')")} else s end, ' ' order by line_no) as item from b group by all),
+k as (select * from g where item <> '' and upper({_S.format("regexp_replace(item, '\\s*\\d+\\s*$', '')")}) not in ('', 'N/A', 'NA', 'N.A', '-', 'NONE'))
+select doc_id, cast(row_number() over (partition by doc_id order by col_no, item_no) as int) as ord, '[' || header || '] ' || item as item from k""",
+        "ext_look_ahead": f"""with a as (select snap_id as doc_id, unnest(list_filter(string_split(first_activity, chr(10)), lambda x: regexp_matches(trim(x, ' '), '^[A-Za-z][a-z]{{2}}'))) as line from w32_2026 where first_activity is not null),
+k as (select doc_id, {_S.format("line")} as item from a),
+n as (select doc_id, count(*) as n from k where upper({_S.format("regexp_replace(item, '\\s*\\d+\\s*$', '')")}) not in ('', 'N/A', 'NA', 'N.A', '-', 'NONE') group by 1)
+select snap_id as doc_id, true as found, false as cross_reference, cast(coalesce(n, 0) as int) as n from w32_2026 left join n on snap_id = n.doc_id where first_activity is not null""",
         "ext_history_rows": """select project_id, year, week, case when not isnan(plan) then plan end as plan, case when not isnan(actual) then actual end as actual, cast(coalesce(cardinality(disciplines), 0) as int) as n_disc,
   cast(coalesce(cardinality(scopes), 0) as int) as n_scopes, cast(coalesce(len(string_split(first_concern, chr(10))), 0) as int) as n_concerns, cast(coalesce(len(string_split(first_activity, chr(10))), 0) as int) as n_activities
 from w32_2026 where pin_no > 1""",

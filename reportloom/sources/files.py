@@ -126,8 +126,15 @@ def results_json(spark: SparkSession, path: str, only: tuple[str, ...] = ()) ->
     return r.where(F.col("project_id").isin(*only)) if only else r
 
 
+PAGE = (
+    "doc string, page_no int, width double, text string, words array<struct<text:string,x0:double,x1:double,top:double>>, "
+    "chars array<struct<text:string,x0:double,x1:double,top:double>>, tables array<array<array<string>>>"
+)
+
+
 def register_pages(spark: SparkSession) -> bool:
-    """Registers the format 'report_pages' (doc, page_no, text) if a PDF reader is installed."""
+    """Registers the format 'report_pages' (see PAGE) if a PDF reader is installed.  The option ``paths`` has
+    the files, separated by line ends; each is a partition."""
     try:
         import pdfplumber  # noqa: F401
         from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -136,7 +143,7 @@ def register_pages(spark: SparkSession) -> bool:
 
     class Reader(DataSourceReader):
         def __init__(self, options):
-            self.paths = [p for p in options.get("paths", "").split(",") if p]
+            self.paths = [p for p in options.get("paths", "").split("\n") if p]
 
         def partitions(self):
             return [InputPartition(p) for p in self.paths]
@@ -144,9 +151,10 @@ def register_pages(spark: SparkSession) -> bool:
         def read(self, partition):
             import pdfplumber
 
+            placed = lambda xs: [(x["text"], float(x["x0"]), float(x["x1"]), float(x["top"])) for x in xs]
             with pdfplumber.open(partition.value) as doc:
                 for n, page in enumerate(doc.pages, 1):
-                    yield partition.value, n, page.extract_text() or ""
+                    yield partition.value, n, float(page.width), page.extract_text() or "", placed(page.extract_words()), placed(page.chars), page.extract_tables()
 
     class Pages(DataSource):
         @classmethod
@@ -154,10 +162,21 @@ def register_pages(spark: SparkSession) -> bool:
             return "report_pages"
 
         def schema(self):
-            return "doc string, page_no int, text string"
+            return PAGE
 
         def reader(self, schema):
             return Reader(self.options)
 
     spark.dataSource.register(Pages)
     return True
+
+
+def placed(pages: DataFrame, what: str = "words") -> DataFrame:
+    """(doc_id, page_no, text, x0, x1, top): the words (or chars) of pages (doc_id, page_no, words, chars)."""
+    return pages.select("doc_id", "page_no", F.explode(what).alias("w")).select("doc_id", "page_no", "w.*")
+
+
+def table_rows(pages: DataFrame) -> DataFrame:
+    """(doc_id, page_no, tbl_no, row_no, cells): the rows of the tables of pages."""
+    t = pages.select("doc_id", "page_no", F.posexplode("tables").alias("tbl_no", "t"))
+    return t.select("doc_id", "page_no", "tbl_no", F.posexplode("t").alias("row_no", "cells"))

@@ -220,6 +220,28 @@ def test_follow(spark, sf, tmp_path):
     assert "window" in incremental.vanished(spark.readStream.schema(log.schema).parquet(src)).columns
 
 
+def test_pages_to_frames(spark):
+    p = spark.createDataFrame([(1, 1, [("a", 1.0, 2.0, 3.0)], [("b", 1.0, 2.0, 3.0), ("c", 2.0, 3.0, 3.0)], [[["x", None], ["y", "z"]]]), (2, 1, [], None, [])], "doc_id bigint, page_no int, words array<struct<text:string,x0:double,x1:double,top:double>>, chars array<struct<text:string,x0:double,x1:double,top:double>>, tables array<array<array<string>>>")
+    assert [tuple(r) for r in files.placed(p).collect()] == [(1, 1, "a", 1.0, 2.0, 3.0)] and files.placed(p, "chars").count() == 2
+    assert {(r.doc_id, r.tbl_no, r.row_no, tuple(r.cells)) for r in files.table_rows(p).collect()} == {(1, 0, 0, ("x", None)), (1, 0, 1, ("y", "z"))}
+
+
+def test_area_table_below_its_heading(spark):
+    """Only characters below the heading, and not left of it, make rows."""
+    def row(text, top, x=100.0):
+        out, at = [], x
+        for word in text.split(" | "):
+            out += [(1, 1, ch, at + 6 * k, at + 6 * k + 6, top) for k, ch in enumerate(word)]
+            at += 6 * len(word) + 30
+        return out
+    chars = row("Engineering | 10.00 | 90.00 | 80.00 | 10.00", 50.0) + row("Procurement | 40.00 | 70.00 | 60.00 | 10.00", 120.0) + row("Construction | 40.00 | 5.00 | 5.00 | 0.00", 130.0, x=20.0)[:12]
+    c = spark.createDataFrame(chars, "doc_id bigint, page_no int, text string, x0 double, x1 double, top double")
+    w = spark.createDataFrame([(1, 1, "A r e a", 100.0, 130.0, 100.0), (1, 1, "D i s c", 140.0, 170.0, 100.5)], c.schema)
+    assert {tuple(r) for r in layout.matrix(c, w).collect()} == {(1, 1, "Procurement", 40.0, 70.0, 60.0)}
+    assert {r.discipline for r in layout.matrix(c).collect()} == {"Engineering", "Procurement"}
+    assert layout.matrix(c, w.where("false")).count() == 0
+
+
 def test_files(spark, tmp_path):
     root = tmp_path / "reports"
     for folder, name in (("31_260805", "Project_A_weekly.pdf"), ("32_260812", "b special a.pdf"), ("32_260812/sub", "Project_A_weekly.pdf"), ("9_260304", "old.pdf")):
