@@ -7,6 +7,7 @@ one wording and is not widened for another.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,11 @@ class Grammar:
     groups: tuple[str, ...]
     wording: str  # printf arguments in the order of ``groups``
 
+    @property
+    def figures(self) -> set[str]:
+        """Which of plan and actual it says; a delta says the plan too."""
+        return {"plan" if x in ("delta", "signed") else x for x in self.groups} & {"plan", "actual"}
+
 
 # The wordings that reports use.
 GRAMMARS = {
@@ -103,6 +109,31 @@ HINTS = {
 }
 
 
+NUMBERS = ("plan", "actual", "delta", "signed")
+
+
+def rendered(g: Grammar, parts: dict[str, Column]) -> Column:
+    """A statement of one wording with these parts (text, by group)."""
+    given = iter(g.groups)
+    piece = {"%s": lambda: parts[next(given)], "%%": lambda: F.lit("%")}
+    return F.concat(*(piece[x]() if x in piece else F.lit(x) for x in re.split("(%s|%%)", g.wording) if x))
+
+
+def _label(said: Column | None) -> Column:
+    return F.lit("overall") if said is None else F.regexp_replace(F.lower(said), r"\s+project$", "")
+
+
+def _derived(num: dict[str, Column], direction: Column | None) -> tuple[Column, Column]:
+    """(plan, actual) from the numbers of a statement; figures outside 0 to 100 are null."""
+    plan, actual = num.get("plan"), num.get("actual")
+    if "delta" in num:
+        plan = plan_from_delta(actual, direction, num["delta"])
+    if "signed" in num:
+        plan = plan_from_signed(actual, num["signed"])
+    inside = lambda v: F.lit(None).cast("double") if v is None else F.when(v.between(0.0, 100.0), v)
+    return inside(plan), inside(actual)
+
+
 def statements(text: Column, g: Grammar, low: Column | None = None) -> Column:
     """All statements of one wording in a text: array of (grammar, match_no, label, plan, actual).
 
@@ -117,19 +148,28 @@ def statements(text: Column, g: Grammar, low: Column | None = None) -> Column:
 
     def one(m: Column, i: Column) -> Column:
         s = {name: F.regexp_extract(m, g.pattern, k + 1) for k, name in enumerate(g.groups)}
-        num = {k: s[k].cast("double") for k in ("plan", "actual", "delta", "signed") if k in g.groups}
-        label = F.regexp_replace(F.lower(s["label"]), r"\s+project$", "") if "label" in g.groups else F.lit("overall")
-        plan, actual = num.get("plan"), num.get("actual")
-        if "delta" in num:
-            plan = plan_from_delta(actual, s["direction"], num["delta"])
-        if "signed" in num:
-            plan = plan_from_signed(actual, num["signed"])
-        inside = lambda v: F.lit(None).cast("double") if v is None else F.when(v.between(0.0, 100.0), v)
-        return F.struct(F.lit(g.name).alias("grammar"), (i + 1).alias("match_no"), label.alias("label"), inside(plan).alias("plan"), inside(actual).alias("actual"))
+        num = {k: s[k].cast("double") for k in NUMBERS if k in g.groups}
+        plan, actual = _derived(num, s.get("direction"))
+        return F.struct(F.lit(g.name).alias("grammar"), (i + 1).alias("match_no"), _label(s.get("label")).alias("label"), plan.alias("plan"), actual.alias("actual"))
 
     return F.transform(found, one)
 
 
+def first_statements(df: DataFrame, keys: list[str], text: str, g: Grammar) -> DataFrame:
+    """(…keys, plan, actual): of every text the figures of the first statement of one wording, as in
+    ``statements``; null where there is none.
+
+    Each step is a projection of its own, so that no group is matched and no number cast twice, and
+    all of it is compiled.
+    """
+    group = lambda name: F.regexp_extract(text, g.pattern, g.groups.index(name) + 1)
+    numbers = [k for k in NUMBERS if k in g.groups]
+    said = [group("direction").alias("_direction")] if "direction" in g.groups else []
+    read = df.select(*keys, *(group(k).try_cast("double").alias(f"_{k}") for k in numbers), *said)
+    plan, actual = _derived({k: F.col(f"_{k}") for k in numbers}, F.col("_direction"))
+    return read.select(*keys, plan.alias("plan"), actual.alias("actual"))
+
+
 def read_statements(df: DataFrame, keys: list[str], text: str, grammars: tuple[str, ...]) -> DataFrame:
     """(…keys, grammar_no, grammar, match_no, label, plan, actual): every statement in every text,
     grammars in the given order.  Null texts have none."""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions import grammar, numeric, text
 from reportloom.operators import layout, lines, tables
 from reportloom.plans.history_queries import table_like
+from reportloom.session import kept
 from reportloom.sources import files
 
 # What marks sections, furniture and pages.
@@ -113,28 +116,38 @@ def status_statements(s, d):
     return grammar.read_statements(_t(s, d, "documents"), ["doc_id"], "text", READ).select("doc_id", "grammar", "match_no", "label", "plan", "actual")
 
 
+VALID = "plan between 0 and 100 and actual between 0 and 100"
+
+
 def _figures(s: SparkSession, d: str) -> DataFrame:
-    ok = "plan between 0 and 100 and actual between 0 and 100"
-    return _t(s, d, "obs_discipline").where(ok).select("project_id", "year", "week", "scope", "discipline", numeric.exact(F.col("plan")).alias("plan"), numeric.exact(F.col("actual")).alias("actual"))
+    return _t(s, d, "obs_discipline").where(VALID).select("project_id", "year", "week", "scope", "discipline", numeric.exact(F.col("plan")).alias("plan"), numeric.exact(F.col("actual")).alias("actual"))
 
 
 def status_round_trip(s, d):
-    """Every observation rendered in every wording and read back: figures recovered by wording."""
+    """Every observation rendered in every wording and read back: figures recovered by wording.
+
+    Observations with the same figures give the same texts; each text is written and read once and
+    counts for all of them.
+    """
     c = F.col
+    same = _t(s, d, "obs_discipline").where(VALID).groupBy("plan", "actual").agg(F.count(F.lit(1)).alias("n"))
+    same = kept(same.select(numeric.exact(c("plan")).alias("plan"), numeric.exact(c("actual")).alias("actual"), "n"))
     shown = {
-        "label": F.lit("Overall"), "plan": c("plan").cast("string"), "actual": c("actual").cast("string"),
+        "plan": c("plan").cast("string"), "actual": c("actual").cast("string"),
         "direction": F.when(c("plan") >= c("actual"), "Delayed").otherwise("Ahead"), "delta": F.abs(c("plan") - c("actual")).cast("string"), "signed": (c("actual") - c("plan")).cast("string"),
     }
-    each = []
-    for g in grammar.GRAMMARS.values():
-        part = dict(shown)
-        if g.name == "plan_then_actual":
-            part["label"] = F.lit("Overall project")
-        rendered = F.format_string(g.wording, *(part[x] for x in g.groups))
-        each.append(F.struct(F.lit(g.name).alias("grammar"), F.get(grammar.statements(rendered, g), F.lit(0)).alias("s")))
-    r = _figures(s, d).select("plan", "actual", F.explode(F.array(*each)).alias("x"))
-    cents = lambda v: F.coalesce(F.sum((numeric.exact(v) * 100).cast("bigint")), F.lit(0))
-    return r.groupBy("x.grammar").agg(F.count(F.lit(1)).alias("n"), cents(F.col("x.s.plan")).alias("plan_cents"), cents(F.col("x.s.actual")).alias("actual_cents"))
+
+    def recovered(g: grammar.Grammar) -> DataFrame:
+        parts = shown | {"label": F.lit("Overall project" if g.name == "plan_then_actual" else "Overall")}
+        own = [x for x in g.groups if x != "label"]
+        texts = same if len(own) > 1 else same.groupBy(*own).agg(F.sum("n").alias("n"))  # a wording of one figure has few texts
+        found = grammar.first_statements(texts.select("n", grammar.rendered(g, parts).alias("text")), ["n"], "text", g)
+        # printed figures have at most two decimals, so the nearest whole number of cents is theirs
+        cents = lambda v: F.sum(F.floor(c(v) * 100 + 0.5) * c("n")) if v in g.figures else F.lit(0).cast("bigint")
+        sums = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), cents("plan").alias("plan_cents"), cents("actual").alias("actual_cents"))
+        return sums.select(F.lit(g.name).alias("grammar"), "n", "plan_cents", "actual_cents")
+
+    return reduce(DataFrame.unionAll, map(recovered, grammar.GRAMMARS.values()))
 
 
 def _wins(s, d, last: bool):

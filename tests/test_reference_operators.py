@@ -469,3 +469,31 @@ def test_history_of_every_project_is_in_order(spark, sf):
     want = sorted({(p, int(y), int(w)) for p, y, w in zip(h.project_id, h.year, h.week, strict=True)})
     got = history_queries.queries()["history_of_project"](spark, sf).select("project_id", "year", "week").collect()
     assert [tuple(r) for r in got] == want
+
+
+def test_same_figures_are_rendered_and_read_once(spark, monkeypatch, tmp_path):
+    """Observations with the same figures give the same texts: these are read once and count for all."""
+    rows = [(p, a) for p, a, n in ((8.35, 8.8, 50), (8.8, 8.35, 30), (100.0, 0.0, 20), (0.05, 99.99, 1)) for _ in range(n)]
+    spark.createDataFrame([*rows, (101.0, 3.0), (None, 3.0), (float("nan"), 3.0)], "plan double, actual double").write.parquet(str(tmp_path / "obs_discipline.parquet"))
+    read = []
+    monkeypatch.setattr(text_queries, "kept", lambda df: read.append(df) or df)
+    got = {r.grammar: tuple(r)[1:] for r in text_queries.queries()["status_round_trip"](spark, str(tmp_path)).collect()}
+    assert [df.count() for df in read] == [4]
+    plan, actual = (sum(round(r[k] * 100) for r in rows) for k in (0, 1))
+    assert got == {n: (101, plan if "plan" in g.figures else 0, actual if "actual" in g.figures else 0) for n, g in grammar.GRAMMARS.items()}
+
+
+def test_first_statements(spark):
+    """The first statement read at once is the first of all, of each wording; odd texts too."""
+    texts = [g.wording % tuple({"label": "Construction", "direction": d}.get(x, v) for x, v in zip(g.groups, vs, strict=False)) for g in grammar.GRAMMARS.values() for d in ("Delayed", "AHEAD") for vs in (("8.35", "7.8", "1.20", "3"), ("999", "120.5", "100", "0"))]
+    texts = [t.replace("Plan, 8.35", "Plan, -8.35") for t in texts]
+    texts += [f"{a}\n\n{b} " for a, b in zip(texts, reversed(texts), strict=True)] + ["", "progress", "Progress 5% (a, -", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    for g in grammar.GRAMMARS.values():
+        first = F.get(grammar.statements(F.col("t"), g), F.lit(0))
+        want = df.select("k", first["plan"].alias("plan"), first["actual"].alias("actual")).orderBy("k").collect()
+        assert grammar.first_statements(df, ["k"], "t", g).orderBy("k").collect() == want, g.name
+        assert sum(r.plan is not None or r.actual is not None for r in want) >= 2, g.name
+    parts = {x: F.lit("5.5") for x in ("label", "direction", *grammar.NUMBERS)}
+    got = spark.range(1).select(*(grammar.rendered(g, parts).alias(n) for n, g in grammar.GRAMMARS.items())).first()
+    assert got.asDict() == {n: g.wording % (("5.5",) * len(g.groups)) for n, g in grammar.GRAMMARS.items()}
