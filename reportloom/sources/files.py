@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportloom.functions.text import folder_date, norm_key
+from reportloom.session import kept
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*.pdf") -> DataFrame:
@@ -45,18 +48,28 @@ def routed(keywords: DataFrame, files: DataFrame, canonical: Column) -> DataFram
     keyword is in no name.
 
     A name that contains a keyword contains its first letters, so names and keywords are joined by
-    the groups of up to GRAM letters of the names and only those pairs are compared.  The rank
-    limit leaves one row per project and task.
+    these: by every place of a name where as many letters begin as some keyword's first letters are,
+    up to GRAM.  Only those pairs are compared.  Projects play no part until each keyword has its best
+    name, of which the rank limit leaves one a task.  The keywords are kept, so that the planner knows
+    how few they are.
     """
-    up = F.upper("name")
-    grams = lambda n: F.when(F.length(up) >= n, F.transform(F.sequence(F.lit(1), F.length(up) - (n - 1)), lambda i: F.substr(up, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    f = files.withColumn("_canonical", canonical).where("name is not null")
-    f = f.select("name", "_canonical", F.explode(F.array_distinct(F.concat(*map(grams, range(1, GRAM + 1))))).alias("_g"))
-    k = keywords.where("keyword <> ''").select("project", F.upper("keyword").alias("_k")).distinct().withColumn("_g", F.substring("_k", 1, GRAM))
-    hit = f.join(k, "_g").where(F.upper("name").contains(F.col("_k"))).select("project", "name", "_canonical")
-    w = Window.partitionBy("project").orderBy(F.desc("_canonical"), "name")
-    best = hit.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("project", "name")
-    return keywords.select("project").distinct().join(best, "project", "left")
+    words = kept(keywords.select("project", F.upper("keyword").alias("_k")).distinct())
+    k = words.where("_k <> ''").select("_k", F.substring("_k", 1, GRAM).alias("_g")).distinct()
+    f = files.withColumn("_canonical", canonical).where("name is not null").select("name", "_canonical", F.upper("name").alias("_up"))
+    lengths = [r[0] for r in k.select(F.length("_g")).distinct().collect()]  # at most GRAM rows
+
+    def hits(n: int) -> DataFrame:
+        begins = f.where(F.length("_up") >= n).select("*", F.explode(F.sequence(F.lit(1), F.length("_up") - (n - 1))).alias("_i"))
+        g = begins.select("name", "_canonical", "_up", F.substr("_up", "_i", F.lit(n)).alias("_g"))
+        return g.join(k.where(F.length("_g") == n), "_g").where(F.col("_up").contains(F.col("_k"))).select("_k", "name", "_canonical")
+
+    def best(of: DataFrame, key: str) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(F.desc("_canonical"), "name")
+        return of.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+
+    found = best(reduce(DataFrame.unionAll, map(hits, lengths or [GRAM])), "_k")
+    routes = best(words.join(found, "_k").select("project", "name", "_canonical"), "project").drop("_canonical")
+    return words.select("project").distinct().join(routes, "project", "left")
 
 
 def resolved(wanted: DataFrame, entries: DataFrame) -> DataFrame:

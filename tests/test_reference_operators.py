@@ -2,10 +2,12 @@
 
 import datetime as dt
 import os
+import random
 
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from reportloom import queries_data
@@ -497,3 +499,18 @@ def test_first_statements(spark):
     parts = {x: F.lit("5.5") for x in ("label", "direction", *grammar.NUMBERS)}
     got = spark.range(1).select(*(grammar.rendered(g, parts).alias(n) for n, g in grammar.GRAMMARS.items())).first()
     assert got.asDict() == {n: g.wording % (("5.5",) * len(g.groups)) for n, g in grammar.GRAMMARS.items()}
+
+
+def test_router_ranks_names_by_keyword_first(spark):
+    """Projects that share keywords share their best names: names are ranked once a keyword, at places where
+    one can begin, and not once a project; the routes are those of plain search."""
+    draw = random.Random(5)
+    some = lambda n: "".join(draw.choice("abAB c") for _ in range(n))
+    names = [some(draw.randint(0, 9)) for _ in range(60)]
+    words = [(f"P{k % 40}", some(draw.choice((1, 2, 3, 4, 5)))) for k in range(120)] + [("P40", "zz")]
+    got = files.routed(spark.createDataFrame(words, "project string, keyword string"), spark.createDataFrame([(n,) for n in names], "name string"), F.length("name") == 7)
+    want = {p: min(((len(n) != 7, n) for n in names for q, k in words if q == p and k.upper() in n.upper()), default=(0, None))[1] for p, _ in words}
+    assert None in want.values() and len(set(want.values())) > 5
+    assert sorted(map(str, got.collect())) == sorted(str(Row(project=p, name=n)) for p, n in want.items())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_k#" in plan and "transform(" not in plan
